@@ -54,7 +54,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         after = settle(small)
         # a star forest: no node is both a centre and a leaf, and each leaf has one centre
-        sums = "count(*) n, sum(hash(u, v)) s"
-        if after.selectExpr(*sums.split(", ")).first() == now.selectExpr(*sums.split(", ")).first():
+        sums = (F.count("*"), F.sum(F.hash("u", "v")))
+        if after.agg(*sums).first() == now.agg(*sums).first():
             return after.select(F.col("u").alias("node"), F.col("v").alias("component"))
         now = after
