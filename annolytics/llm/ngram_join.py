@@ -235,8 +235,8 @@ def ngram_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
     """Components of texts whose word shingles have a Jaccard index of percent / 100 or more.
 
     docs: doc_id long, text string; other columns are left out. One row per input row:
-    doc_id, n_shingles, component_id (the smallest doc_id reachable by links, itself
-    included). A text of fewer than `width` words has its whole sequence as one shingle;
+    doc_id, doc_key (hash of the text), n_shingles, component_id (the smallest doc_id
+    reachable by links, itself included). A text of fewer than `width` words has its whole sequence as one shingle;
     one without words, or null, links with nothing. Repeated rows are copies. A null
     doc_id takes part and is never the smallest, so its component is null only if all ids in it are.
     """
@@ -275,4 +275,19 @@ def ngram_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
     heads = parts.groupBy("component").agg(F.min("rep").alias("low")).join(classes.select(F.col("fp").alias("component"), "rep"), "component").select("component", F.least("low", "rep").alias("low"))
     named = parts.join(heads, "component").select(F.col("node").alias("fp"), "low").unionByName(heads.select(F.col("component").alias("fp"), "low"))
     named = classes.join(named, "fp", "left").select("fp", F.coalesce("low", "rep").alias("low"))
-    return base.join(named, "fp", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("doc_id")).alias("component_id"))
+    return base.join(named, "fp", "left").select("doc_id", "doc_key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, **how: int) -> DataFrame:
+    """The rows of docs without near copies: of each component the text of smallest
+    doc_id (null is the greatest) stays, once. Texts without words all stay."""
+    found = ngram_components(docs, **how).filter("n_shingles > 0")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("of_id"), F.col("doc_key").alias("of_key"))
+    # components of null ids alone are told apart by their texts
+    keys = ["component_id", F.when(F.col("component_id").isNull(), F.col("doc_key"))]
+    best = found.groupBy(*keys).agg(F.min(place).alias("best")).select("best.of_id", "best.of_key")
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.withColumns({"of_id": F.col("doc_id").cast("long"), "of_key": F.xxhash64("text"), "worded": F.regexp_like(text, F.lit(r"[^\x20\x09-\x0D]"))})
+    same = keyed.of_id.eqNullSafe(best.of_id) & (keyed.of_key == best.of_key)
+    kept = keyed.filter("worded").join(best, same, "left_semi").dropDuplicates(["of_id", "of_key"])
+    return kept.unionByName(keyed.filter("not worded")).select(*docs.columns)

@@ -313,3 +313,26 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, with_text: bool = False,
     joined = docs.join(spans, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("doc_key") == F.col("of_key")), "left")
     last = "kept_text string" if with_text else "kept_sha256 string"
     return joined.select("doc_id", "text", "spans").mapInArrow(lambda it: keep_rest(it, length, with_text), f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}")
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH, **how: int) -> DataFrame:
+    """The rows of docs, all columns, with the repeated bytes of their texts removed
+    (n_chars, where there is one, is counted anew)."""
+    given = docs.columns
+    keyed = docs.withColumns({"own_id": F.col("doc_id").cast("long"), "own_key": F.xxhash64(F.col("doc_id").cast("long"), "text")})
+    windows = repeated_windows(keyed.select(F.col("own_id").alias("doc_id"), F.col("own_key").alias("doc_key"), "text"), length, **how).distinct()
+    spans = windows.groupBy("doc_id", "doc_key").agg(F.collect_list(F.struct("start", "n")).alias("spans")).withColumnsRenamed({"doc_id": "of_id", "doc_key": "of_key"})
+    joined = keyed.join(spans, F.col("own_id").eqNullSafe(F.col("of_id")) & (F.col("own_key") == F.col("of_key")), "left")
+    named = [F.col(c).alias(f"given_{i}") for i, c in enumerate(given)]
+    kinds = ", ".join(f"given_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(given))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = pa.nulls(len(batch), pa.int64())
+            part = pa.RecordBatch.from_arrays([ids, *batch.columns[:2]], names=["doc_id", "text", "spans"])
+            for rest in keep_rest(iter([part]), length, True):
+                yield pa.RecordBatch.from_arrays([*batch.columns[2:], rest.column(4)], names=[*batch.schema.names[2:], "kept_text"])
+
+    out = joined.select("text", "spans", *named).mapInArrow(cut, f"{kinds}, kept_text string")
+    out = out.select(*(F.col("kept_text" if c == "text" else f"given_{i}").alias(c) for i, c in enumerate(given)))
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in given else out
