@@ -33,12 +33,11 @@ def word_count(text: Column) -> Column:
 
 def permuted(index: Column, n: Column, *key: Column, rounds: int = ROUNDS) -> Column:
     """The place of `index` in a pseudorandom permutation of 0 to n - 1 chosen by `key`."""
-    x = index
-    for r in range(rounds):
-        partner = F.pmod(F.xxhash64(*key, F.lit(r)), n) - x
-        partner = F.when(partner < 0, partner + n).otherwise(partner)
-        x = F.transform(F.array(F.struct(x.alias("x"), partner.alias("y"))), lambda p, r=r: F.when(F.pmod(F.xxhash64(*key, F.lit(r), F.greatest(p.x, p.y)), F.lit(2)) == 1, p.y).otherwise(p.x))[0]
-    return x
+    def swap_or_not(x: Column, r: Column) -> Column:
+        partner = F.pmod(F.pmod(F.xxhash64(*key, r), n) - x, n)
+        return F.when(F.pmod(F.xxhash64(*key, r, F.greatest(x, partner)), F.lit(2)) == 1, partner).otherwise(x)
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(rounds - 1)), index.cast("long"), swap_or_not)
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
