@@ -1,0 +1,243 @@
+"""Corpus operators against plain versions, on the smallest tables and on awkward rows."""
+
+from __future__ import annotations
+
+import json
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import plain
+from annolytics.llm import html_text, warc
+from annolytics.llm.embedding_dedup import embedding_components
+from annolytics.llm.mixing import mix_documents, mix_sizes
+from annolytics.llm.ngram_join import ngram_components, one_of_each
+from annolytics.llm.packing import pack_documents
+from annolytics.llm.quality import classify_quality
+from annolytics.llm.sharding import jump_hash, shard_rows
+from annolytics.llm.suffix_dedup import suffix_dedup, without_repeats
+from annolytics.llm.topk import top_k
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, shard int, part string, n int, offset long"
+
+
+def awkward_docs() -> list[tuple]:
+    rnd = random.Random(3)
+    words = [f"w{i}" for i in range(400)]
+    base = [rnd.choice(words) for _ in range(300)]
+    near = base[:150] + ["other"] + base[151:]
+    passage = " ".join(rnd.choice(words) for _ in range(150))
+    texts = [None, "", " \n\t", "One", "one", "a b c d", "A b C d", "a b c d e", " ".join(base), " ".join(near), " ".join(base).upper(), "é " + passage + " ü", "x " + passage, passage + passage, "long " * 60_000]
+    rows = [(i, t, None if i % 3 == 0 else "en", [None, "b", "a", "c"][i % 4], None if t is None else len(t)) for i, t in enumerate(texts)]
+    rows += [rows[8], rows[8], (3, "another text under one id", "en", "a", 25), (None, "no id here at all", "en", "a", 17), (None, " ".join(base), "en", None, 9)]
+    return [(*r, 1, "p", 2, 3) for r in rows]
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    return spark.createDataFrame(awkward_docs(), DOCS)
+
+
+@pytest.fixture(scope="module")
+def documents(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def rows_of(df, *columns):
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=str)
+
+
+@pytest.mark.parametrize("name", ["awkward", "documents"])
+def test_ngram_components(request, name):
+    docs = request.getfixturevalue(name)
+    want = plain.ngram_rows([tuple(r) for r in docs.select("doc_id", "text").collect()])
+    assert rows_of(ngram_components(docs), "doc_id", "n_shingles", "component_id") == want
+    assert rows_of(ngram_components(docs, paired=2), "doc_id", "n_shingles", "component_id") == want
+
+
+def test_one_of_each(awkward):
+    kept = one_of_each(awkward)
+    assert kept.columns == awkward.columns
+    texts = [r.text for r in kept.collect()]
+    worded = [plain.shingles(t) for t in texts if plain.shingles(t)]
+    assert len(worded) == len(set(worded))
+    found = {r[2] for r in plain.ngram_rows([r[:2] for r in awkward_docs()]) if r[1]}
+    assert len([t for t in texts if plain.shingles(t)]) == len(found)
+
+
+@pytest.mark.parametrize("name", ["awkward", "documents"])
+def test_suffix_dedup(request, name):
+    docs = request.getfixturevalue(name)
+    want = plain.suffix_rows([tuple(r) for r in docs.select("doc_id", "text").collect()])
+    columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert rows_of(suffix_dedup(docs), *columns) == want
+    if name == "documents":
+        assert rows_of(suffix_dedup(docs, hot=1), *columns) == want
+    cut = without_repeats(docs)
+    assert cut.columns == docs.columns
+    assert rows_of(cut, F.length("text")) == rows_of(suffix_dedup(docs, with_text=True), F.length("kept_text"))
+
+
+def vectors_of(spark):
+    rng = np.random.default_rng(1)
+    v = rng.normal(size=(300, 16)).astype("f4")
+    v[100:180] = v[0] + rng.normal(size=(80, 16)).astype("f4") * 0.12
+    v[180:200] = v[1]
+    rows = [(i, [float(x) for x in v[i]], i % 3 if i < 100 else 1) for i in range(300)]
+    rows += [(300, None, 1), (301, [0.0] * 16, 1), (302, [float("nan")] * 16, 1), (303, [None] * 16, 1), (304, rows[150][1], None), (305, [1.0, 2.0], 1), (306, [], 1), (150, rows[150][1], 1), (None, rows[150][1], 1), (350, rows[0][1], 0), (350, rows[0][1], 0)]
+    return spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<float>, label int, score string")
+
+
+def test_embedding_components(spark):
+    vectors = vectors_of(spark)
+    rows = [(r.vec_id, r.embedding, r.label) for r in vectors.collect()]
+    want, got = plain.embedding_rows(rows), rows_of(embedding_components(vectors), "vec_id", "n_links", "component_id", "kept")
+    assert len(got) == len(want)
+    links = [sum(r[1] for r in x) for x in (got, want)]
+    assert 0.9 * links[1] <= links[0] <= links[1]
+    assert sum(a[0::2] == b[0::2] for a, b in zip(got, want, strict=True)) > 0.95 * len(want)
+
+
+def test_top_k(spark):
+    vectors = vectors_of(spark)
+    rows = [(r.vec_id, np.floor(256 * np.array(r.embedding, float))) for r in vectors.collect() if r.vec_id is not None and r.embedding is not None and all(x is not None and np.isfinite(x) for x in r.embedding)]
+    want = []
+    for q, v in {(q, tuple(v)) for q, v in rows if q % 50 == 0}:
+        scored = sorted((-int(np.dot(v, w)), c) for c, w in rows if c != q and len(w) == len(v))[:5]
+        want += [(q, i + 1, c, -s) for i, (s, c) in enumerate(scored)]
+    got = top_k(vectors, query_rows=3, cell_rows=50)
+    assert rows_of(got, "query_id", "rank", "vec_id", "score") == sorted(want, key=str)
+    assert rows_of(top_k(vectors), "query_id", "rank", "vec_id", "score") == sorted(want, key=str)
+
+
+def test_jump_hash_moves_rows_into_the_new_shard_alone():
+    keys = np.random.default_rng(2).integers(0, 2**63, 20_000).astype(np.uint64)
+    a, b = jump_hash(keys, 40), jump_hash(keys, 41)
+    assert set(b[a != b]) == {40} and 0.015 < (a != b).mean() < 0.035
+    key, bucket, j = int(keys[0]), -1, 0  # the published loop
+    while j < 40:
+        bucket, key = j, (key * 2862933555777941757 + 1) % 2**64
+        j = int((bucket + 1) * (float(1 << 31) / ((key >> 33) + 1)))
+    assert a[0] == bucket
+
+
+def test_sharding(awkward):
+    rows = shard_rows(awkward).collect()
+    assert sorted((str(r.doc_id), r.size, r.text_crc32) for r in rows) == sorted((str(d[0]), len((d[1] or "").encode()) + 16, zlib.crc32((d[1] or "").encode())) for d in awkward_docs())
+    for shard in {r.shard for r in rows}:
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(sum(r.shard == shard for r in rows)))
+    assert all(r.grown_shard in (r.shard, 40) for r in rows)
+
+
+@pytest.mark.parametrize("name", ["awkward", "documents"])
+def test_packing(request, name):
+    docs = request.getfixturevalue(name)
+    rows = pack_documents(docs, with_ids=True, group_rows=100).collect()
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = sorted([(str(r.doc_id), *tokenizer.encode(r.text or "", add_special_tokens=False).ids, 0) for r in docs.collect()], key=str)
+    ends: dict[int, int] = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == ends.get(r.sequence_id, 0) and r.offset + r.length <= 2048
+        ends[r.sequence_id] = r.offset + r.length
+        assert r.ids_crc32 == zlib.crc32(r.ids) and len(r.ids) == 4 * r.length
+    if name == "documents":
+        texts: dict[str, list[int]] = {}
+        for r in sorted(rows, key=lambda r: (r.doc_id, r.piece)):
+            assert len(texts.setdefault(str(r.doc_id), [])) == r.start
+            texts[str(r.doc_id)] += np.frombuffer(r.ids, "<u4").tolist()
+        assert sorted(((k, *v) for k, v in texts.items()), key=str) == want
+        assert sum(ends.values()) / (2048 * len(ends)) > 0.9
+    else:
+        assert sum(r.length for r in rows) == sum(len(w) - 1 for w in want)
+
+
+@pytest.mark.parametrize("name", ["awkward", "documents"])
+def test_mixing(request, name):
+    docs = request.getfixturevalue(name)
+    mixed = mix_sizes(docs).cache()
+    rows = mixed.collect()
+    assert len(rows) == docs.count()
+    assert all(0 <= r.taken <= 2 * r.size for r in rows)
+    total = sum(r.size for r in rows)
+    assert sum(r["size"] for r in rows) == sum(len(plain.WORD.findall((r.text or "").encode())) for r in docs.collect())
+    by_source = {}
+    for r in rows:
+        by_source.setdefault((r.source_size, r.target), []).append(r.taken)
+    for (size, target), taken in by_source.items():
+        assert target <= 2 * size + 1e-6 and abs(sum(taken) - target) <= len(by_source) + 1
+    assert sum(t for _, t in by_source) == pytest.approx(1.5 * total, rel=0.05)
+    assert rows_of(mix_sizes(docs), "doc_id", "taken") == rows_of(mixed, "doc_id", "taken")
+    texts = mix_documents(docs)
+    assert texts.columns == docs.columns
+    assert sum(len(plain.WORD.findall(r.text.encode())) for r in texts.collect()) == sum(r.taken for r in rows)
+
+
+def test_quality(spark, awkward, documents, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    part = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(4))
+    scored = classify_quality(documents, labels.filter(part > 0)).join(labels.filter(part == 0), "doc_id").collect()
+    assert np.mean([r.keep == (r.quality == 1) for r in scored]) > 0.9
+    assert np.mean([r.keep for r in scored if r.quality == 1]) > 0.95
+    none = labels.limit(0)
+    assert all(r.keep for r in classify_quality(awkward, none).collect())
+    odd = spark.createDataFrame([(3, 1, 0), (3, 0, 0), (4, None, 0), (None, 1, 1), (5, 1, 0), (99, 1, 0), (8, 0, 0)], "doc_id long, quality int, toxic int")
+    assert classify_quality(awkward, odd).count() == awkward.count()
+
+
+def test_tables_may_be_empty(spark, documents):
+    none = documents.limit(0)
+    for out in (ngram_components(none), suffix_dedup(none), shard_rows(none), pack_documents(none), mix_sizes(none), mix_documents(none), one_of_each(none), without_repeats(none)):
+        assert out.count() == 0
+    vectors = vectors_of(spark).limit(0)
+    assert top_k(vectors).count() == 0 and embedding_components(vectors).count() == 0
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    assert html_text.extract_pages(pages).count() == 0 and warc.derivative_records(pages).count() == 0
+
+
+PAGE = """<html><head><title>T</title><style>p{}</style><script>var x="</p>";</script></head><body><header>Top, of the site</header>
+<nav><ul><li><a href="/a">Menu, item</a></li></ul></nav><div class="cookie-notice">We use cookies, as all do, here and there.</div>
+<article><h1>A &amp; B</h1><p>First <b>bold</b>  words,<br>and more, of them, to be a paragraph &#233; of some length.<p>Unclosed one, with a
+line end in it, and <a href="/x">a link</a> too.<div class="ad">Buy, buy, buy, this is an advert.</div><p>Short.</p></article>
+<section id="comments"><p>Reader, one, says a lot of things, with, many, commas, in, it.</p></section><aside>Side, bar</aside>
+<form><p>Sign up, now</p></form><footer>Foot, note</footer>"""
+
+
+def test_html_text(spark, sf_dir):
+    want = "A & B First bold words, and more, of them, to be a paragraph é of some length. Unclosed one, with a line end in it, and a link too. Short."
+    assert html_text.main_text(PAGE) == want
+    pages = [(1, "u", PAGE), (2, None, None), (3, "v", ""), (None, "w", "<p>only this</p>"), (4, "x", "<div>" * 3000 + "deep, text of enough length to count" + "</div>" * 3000), (1, "u", PAGE), (5, "y", "plain < text & no tags"), (6, "z", "<article><p>" + "word, " * 100_000)]
+    rows = {(r.page_id, r.url): r for r in html_text.extract_pages(spark.createDataFrame([(*p, "e") for p in pages], "page_id long, url string, html string, text string")).collect()}
+    assert rows[1, "u"].text == want and rows[1, "u"].n_chars == len(want)
+    assert rows[2, None].text == "" and rows[3, "v"].n_chars == 0
+    assert rows[None, "w"].text == "only this" and rows[4, "x"].text.startswith("deep,")
+    assert rows[6, "z"].n_chars == 599_999
+    import re
+
+    for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
+        inside = re.search(r"<article>(.*)</article>", r.html, re.S)[1]
+        blocks = [re.sub(r"<[a-z/][^>]*>", " ", x) for x in re.split(r"</?(?:p|h1)>", inside.replace("<b>", "").replace("</b>", ""))]
+        import html
+
+        assert html_text.main_text(r.html) == " ".join(w for b in blocks for w in html.unescape(b).split())
+
+
+def test_warc_derivatives(spark):
+    record = warc.response_record(7, "http://a.b/c", PAGE)
+    source, block = warc.decode_record(record)
+    assert warc.digest(block) == source["WARC-Block-Digest"]
+    out = {kind: (h, b) for kind, h, b in warc.derive(record)}
+    for kind, (headers, body) in out.items():
+        again, same = warc.decode_record(warc.encode_record(headers, body))
+        assert same == body and again["WARC-Refers-To"] == source["WARC-Record-ID"] and warc.digest(body) == again["WARC-Block-Digest"]
+        assert again["WARC-Source-Payload-Digest"] == source["WARC-Payload-Digest"] == warc.digest(PAGE.encode())
+    page = json.loads(out["metadata"][1])["Envelope"]
+    assert page["WARC-Header-Metadata"] == source and page["Payload-Metadata"]["HTML-Metadata"] == {"Title": "T", "Links": ["/a", "/x"]}
+    assert page["Payload-Metadata"]["Headers"]["Content-Type"] == "text/html; charset=utf-8"
+    assert "Menu, item" in out["conversion"][1].decode() and "var x" not in out["conversion"][1].decode()
+    pages = spark.createDataFrame([(1, "u\r\nX: y", PAGE, 1), (None, None, None, 2), (1, "u\r\nX: y", PAGE, 1)], "page_id long, url string, html string, block int")
+    assert warc.derivative_records(pages).count() == 6 and warc.derivative_files(pages).count() == 6
