@@ -12,10 +12,12 @@ empty cells to be sure of one gives each of its elements as a signature as well.
 
 Copies (equal sets) are one class with one fingerprint. Signatures travel as packed
 arrays, one row for each batch of texts and bucket of signatures. A bucket gives all
-pairs of a group of up to PAIRED classes; of a larger group it gives the pairs with
-one centre, and after these are verified and joined to components, pairs between
-members of different components alone are verified (as a rule there are few: a large
-group is a cluster of near copies). No pair that could be similar is left out.
+pairs of a group of up to PAIRED classes. A larger group is a cluster of near copies
+as a rule: in rounds, its members meet the few that share most signatures with others
+(the copies with fewest edits) and are joined to components; when that brings no more,
+pairs between members of different components alone are verified. Before that, sizes
+and odd sketches bound the difference of two sets from below and drop what cannot be
+similar. No pair that could be is left out but those that a chain of links joins already.
 """
 
 from __future__ import annotations
@@ -33,6 +35,14 @@ from .text_arrays import byte_runs, mix, shingle_sets
 WIDTH, PERCENT = 5, 80
 #: Classes in a group of one signature of which all pairs are given.
 PAIRED = 24
+#: Members of a large group that the others meet in one round.
+CENTRES = 3
+#: Rounds end when the pairs that are left are so many times the members, or fell too little.
+LEFT_TIMES, FALL = 4, 0.75
+#: Homes that one row sends a set to.
+HOMES = 2000
+#: Columns of an odd sketch, of 64 bits each.
+ODD = [f"odd{i}" for i in range(8)]
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -64,6 +74,13 @@ def fingerprint(s: np.ndarray) -> int:
     return int(mix(np.array([mix(s).sum(dtype=np.uint64) + np.uint64(len(s))], np.uint64)).view(np.int64)[0])
 
 
+def odd_sketch(s: np.ndarray) -> np.ndarray:
+    """The parity of the number of elements in each of 512 cells, as bits of 8 numbers:
+    two sets differ in at least as many elements as their sketches in bits."""
+    cells = np.bincount((s >> np.uint64(23)).astype(np.int64) & 511, minlength=512)
+    return np.packbits((cells & 1).astype(np.uint8)).view(np.int64)
+
+
 def signatures(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.ndarray]:
     """Signature and number of its set, for sets that are not empty."""
     sizes = np.array([len(s) for s in sets])
@@ -107,14 +124,16 @@ def signatures(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.nda
 
 
 def describe(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """doc_id, doc_key, text -> doc_id, doc_key, n, fp."""
+    """doc_id, doc_key, text -> doc_id, doc_key, n, fp, odd sketch."""
     for batch in batches:
-        n, fp = [], []
+        n, fp, odd = [], [], [np.zeros((0, len(ODD)), np.int64)]
         for _, _, data, offsets in byte_runs(batch.column(2)):
             sets = shingle_sets(data, offsets, width)
             n += [len(s) for s in sets]
             fp += [fingerprint(s) for s in sets]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(fp, pa.int64())], names=["doc_id", "doc_key", "n", "fp"])
+            odd += [odd_sketch(s)[None] for s in sets]
+        sketches = [pa.array(x) for x in np.concatenate(odd).T.copy()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(fp, pa.int64()), *sketches], names=["doc_id", "doc_key", "n", "fp", *ODD])
 
 
 def pack_signatures(batches: Iterator[pa.RecordBatch], width: int, percent: int, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -150,16 +169,12 @@ def pairs_of_bucket(sig: np.ndarray, fp: np.ndarray, size: np.ndarray, percent:
     counts = np.diff(np.append(heads, len(sig)))
     left, right = [], []
     for g in np.unique(counts):
-        if g < 2:
+        if not 2 <= g <= paired:
             continue
         at = heads[counts == g]
-        if g <= paired:
-            a, b = np.triu_indices(g, 1)
-            left.append((at[:, None] + a).ravel())
-            right.append((at[:, None] + b).ravel())
-        else:
-            left.append(np.repeat(at, g - 1))
-            right.append((at[:, None] + np.arange(1, g)).ravel())
+        a, b = np.triu_indices(g, 1)
+        left.append((at[:, None] + a).ravel())
+        right.append((at[:, None] + b).ravel())
     if left:
         i, j = np.concatenate(left), np.concatenate(right)
         ok = np.minimum(size[i], size[j]).astype(np.int64) * 100 >= np.maximum(size[i], size[j]).astype(np.int64) * percent
@@ -221,9 +236,11 @@ def verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """The similar ones of pairs (a, b) of fingerprints."""
+    """The similar ones of pairs (a, b) of fingerprints; the sets meet at a's home."""
     sends = pairs.select(F.col("a").alias("fp"), F.col("a").alias("home")).unionByName(pairs.select(F.col("b").alias("fp"), F.col("a").alias("home")))
-    sends = sends.groupBy("fp").agg(F.collect_set("home").alias("homes")).join(classes, "fp")
+    many = sends.groupBy("fp").agg(F.ceil(F.count("*") / HOMES).alias("rows"))
+    salt = F.pmod(F.xxhash64("home"), "rows").alias("salt")
+    sends = sends.join(many, "fp").groupBy("fp", salt).agg(F.collect_set("home").alias("homes")).join(classes, "fp")
     sends = sends.select("fp", "homes", F.col("one.doc_id").alias("of_id"), F.col("one.doc_key").alias("of_key"))
     texts = docs.join(sends, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("doc_key") == F.col("of_key"))).select("text", "fp", "homes")
     sets = texts.mapInArrow(lambda it: send_sets(it, width), "home long, fp long, elements binary")
@@ -231,6 +248,40 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int,
     return sets.mapInArrow(lambda it: verify(it, percent), "a long, b long")
 
 
+def join_large_groups(large: DataFrame, edges: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links that, with edges, join all similar members (fp, n, sketch) of each large group to
+    components. Every pair of a group is verified, or joined by other links."""
+    members = large.withColumn("shared", F.count("*").over(Window.partitionBy("fp")))
+    order = Window.partitionBy("group").orderBy(F.desc("shared"), "fp")
+    members = settle(members.withColumn("place", F.row_number().over(order)))
+    apart_by = sum((F.bit_count(F.col(o).bitwiseXOR(F.col(f"other_{o}"))) for o in ODD), F.lit(0))
+    similar = (F.least("n", "other_n") * 100 >= F.greatest("n", "other_n") * percent) & (apart_by * (100 + percent) <= (F.col("n") + F.col("other_n")) * (100 - percent))
+    used, left_before = 0, None
+    while True:
+        parts = connected_components(edges).withColumnRenamed("node", "fp")
+        # a component's own node is a leaf of none
+        now = members.join(parts, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+        apart = now.groupBy("group", "component").agg(F.count("*").alias("size"))
+        apart = apart.groupBy("group").agg(F.sum("size").alias("size"), F.sum(F.col("size") * F.col("size")).alias("joined"), F.count("*").alias("of")).filter("of > 1")
+        now = settle(now.join(apart.select("group"), "group", "left_semi"))
+        left, size = apart.agg(F.sum((F.col("size") * F.col("size") - F.col("joined")) / 2), F.sum("size")).first()
+        if not left:
+            return edges
+        last = left <= LEFT_TIMES * size or (left_before is not None and left > FALL * left_before)
+        others = now.select("group", F.col("fp").alias("other"), F.col("n").alias("other_n"), *(F.col(o).alias(f"other_{o}") for o in ODD), F.col("component").alias("other_component"), F.col("place").alias("other_place"))
+        if last:
+            met = now.join(others, "group").filter((F.col("component") != F.col("other_component")) & (F.col("fp") < F.col("other")) & similar)
+        else:
+            centres = others.filter((F.col("other_place") > used) & (F.col("other_place") <= used + CENTRES))
+            met = now.join(centres, "group").filter((F.col("component") != F.col("other_component")) & similar)
+        more = verified(met.select(F.col("fp").alias("a"), F.col("other").alias("b")).distinct(), docs, classes, width, percent)
+        # what is joined already goes on as stars, of which the next round has less to do
+        edges = settle(parts.select(F.col("fp").alias("a"), F.col("component").alias("b")).unionByName(more))
+        if last:
+            return edges
+        used, left_before = used + CENTRES, left
+
+
 def ngram_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, paired: int = PAIRED) -> DataFrame:
     """Components of texts whose word shingles have a Jaccard index of percent / 100 or more.
 
@@ -243,32 +294,20 @@ def ngram_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("doc_key"), "text")
-    base = settle(docs.mapInArrow(lambda it: describe(it, width), "doc_id long, doc_key long, n long, fp long"))
+    base = settle(docs.mapInArrow(lambda it: describe(it, width), "doc_id long, doc_key long, n long, fp long, " + ", ".join(f"{o} long" for o in ODD)))
     one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "doc_key"))
-    classes = settle(base.filter("n > 0").groupBy("fp").agg(F.min("doc_id").alias("rep"), one.alias("one")))
+    classes = settle(base.filter("n > 0").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), *(F.min(o).alias(o) for o in ODD), one.alias("one")))
 
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     packed = docs.select("text").mapInArrow(lambda it: pack_signatures(it, width, percent, buckets), "bucket int, sigs binary, places binary, fps binary, sizes binary")
     met = settle(packed.repartition("bucket").mapInArrow(lambda it: meet_in_buckets(it, percent, paired), "kind int, a long, b long"))
     pairs = met.filter("kind = 0").select("a", "b").distinct()
     edges = settle(verified(pairs, docs, classes, width, percent))
-    parts = connected_components(edges)
-
-    # large groups: what the centre's links have not joined is verified against the rest
     large = met.filter("kind = 1").select(F.col("a").alias("group"), F.col("b").alias("fp"))
     if not large.isEmpty():
-        large = large.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-        apart = large.groupBy("group", "component").agg(F.count("*").alias("size"))
-        apart = apart.withColumn("of", F.count("*").over(Window.partitionBy("group"))).filter("of > 1")
-        apart = settle(apart.withColumn("rank", F.row_number().over(Window.partitionBy("group").orderBy(F.desc("size"), "component"))))
-        if not apart.isEmpty():
-            large = settle(large)
-            lone = large.join(apart.filter("rank > 1"), ["group", "component"]).select("group", "fp", "component").distinct()
-            tasks = lone.join(apart.select("group", F.col("component").alias("other")), "group").filter("component <> other").select("fp", "other").distinct()
-            members = large.select(F.col("component").alias("other"), F.col("fp").alias("with")).distinct()
-            more = tasks.join(members, "other").select(F.least("fp", "with").alias("a"), F.greatest("fp", "with").alias("b")).distinct()
-            more = settle(verified(more, docs, classes, width, percent))
-            parts = connected_components(edges.unionByName(more))
+        large = large.join(classes.select("fp", "n", *ODD), "fp")
+        edges = join_large_groups(large, edges, docs, classes, width, percent)
+    parts = connected_components(edges)
 
     parts = parts.join(classes.select(F.col("fp").alias("node"), "rep"), "node")
     # a component's own node is a leaf of none
