@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .functions import boxes as B
-from .operators import matching as M, tables as T
+from .operators import curation as C, matching as M, tables as T
 from .plans.concept_f1 import concept_f1, image_eval
 
 _FRAMES = "(VALUES (0),(1),(2),(3),(4),(5),(6),(7)) AS f(frame_idx)"
@@ -191,6 +191,93 @@ def compact_history(spark, d):
     return T.compact_history(spark.read.parquet(f"{d}/conversations.parquet"), "de", "en")
 
 
+@_register("SELECT det_id, category_id FROM dt_boxes WHERE category_id IN (SELECT category_id FROM gt_boxes WHERE iscrowd = 1)")
+def category_subset(spark, d):
+    return C.category_subset(view(spark, d, "dt_boxes"), view(spark, d, "gt_boxes").filter("iscrowd = 1")).select("det_id", "category_id")
+
+
+@_register("SELECT det_id FROM dt_boxes WHERE w > 30 AND h > 30")
+def valid_box(spark, d):
+    return view(spark, d, "dt_boxes").filter(C.valid_box(B.box(), 30)).select("det_id")
+
+
+@_register("SELECT det_id FROM dt_boxes WHERE x >= -2 AND y >= -2 AND x + w < 642 AND y + h < 482")
+def inside_box(spark, d):
+    return view(spark, d, "dt_boxes").filter(C.inside_box(B.box(), F.lit(640), F.lit(480), 2)).select("det_id")
+
+
+@_register("""SELECT * FROM gt_tracks WHERE video_id NOT IN (SELECT video_id FROM (SELECT video_id, frame_idx, count(*) AS n,
+  min(frame_idx) OVER (PARTITION BY video_id) AS first FROM gt_tracks GROUP BY video_id, frame_idx) WHERE frame_idx = first AND n > 4)""")
+def max_tracks_per_video(spark, d):
+    return C.max_tracks_per_video(view(spark, d, "gt_tracks"), 4)
+
+
+@_register("SELECT ann_id, CAST(CASE category_id WHEN 3 THEN 1 WHEN 4 THEN 2 ELSE category_id END AS BIGINT) AS category_id FROM gt_boxes")
+def merge_categories(spark, d):
+    gt = view(spark, d, "gt_boxes").withColumn("category_id", F.col("category_id").cast("long"))
+    targets = gt.filter("category_id > 2").select("category_id", (F.col("category_id") - 2).alias("target")).distinct()
+    return C.merge_categories(gt, targets).select("ann_id", "category_id")
+
+
+_COUNTS = "SELECT '{0}' AS table_name, count(*) AS n_before, count(*) FILTER (image_id IN (SELECT image_id FROM dt_boxes)) AS n_after, count(*) FILTER (image_id NOT IN (SELECT image_id FROM dt_boxes)) AS n_removed FROM {0}"
+
+
+@_register(f"{_COUNTS.format('image_np')} UNION ALL {_COUNTS.format('gt_boxes')}")
+def availability_filter(spark, d):
+    return C.availability({n: view(spark, d, n) for n in ("image_np", "gt_boxes")}, view(spark, d, "dt_boxes"), "image_id")
+
+
+@_register("""SELECT video_id, frame_idx, ref_frame, rank FROM (SELECT *, row_number() OVER (PARTITION BY video_id, frame_idx ORDER BY later, distance, ref_frame) AS rank FROM (
+  SELECT *, CASE WHEN row_number() OVER (PARTITION BY video_id, frame_idx, ref_frame < frame_idx ORDER BY distance) > 1 THEN 1 ELSE 0 END AS later FROM (
+  SELECT video_id, frame_idx, ref_frame, abs(frame_idx - ref_frame) AS distance FROM (SELECT DISTINCT video_id, frame_idx FROM gt_tracks)
+  JOIN (SELECT DISTINCT video_id, frame_idx AS ref_frame FROM dt_tracks) USING (video_id)))) WHERE rank <= 3""")
+def nearest_frames(spark, d):
+    return C.nearest_frames(view(spark, d, "gt_tracks"), view(spark, d, "dt_tracks"), 3)
+
+
+@_register(f"""SELECT image_id, ann_id, det_id FROM (SELECT *, row_number() OVER (PARTITION BY ann_id ORDER BY CASE WHEN top > 0 THEN iou ELSE score END DESC, det_id) AS rank FROM (
+  SELECT p.image_id, ann_id, p.det_id, round(i / (ga + da - i), 9) AS iou, score, max(round(i / (ga + da - i), 9)) OVER (PARTITION BY ann_id) AS top
+  FROM {_IOU} p JOIN dt_boxes s ON p.image_id = s.image_id AND p.det_id = s.det_id)) WHERE rank = 1""")
+def best_candidate(spark, d):
+    dt = view(spark, d, "dt_boxes")
+    pairs = T.candidate_pairs(view(spark, d, "gt_boxes"), dt, "image_id", "category_id").withColumn("iou", F.round("iou", 9))
+    return C.best_candidate(pairs.join(dt.select("image_id", "det_id", "score"), ["image_id", "det_id"]), "ann_id", "det_id").select("image_id", "ann_id", "det_id")
+
+
+@_register("SELECT video_id, frame_idx, track_id % 1000 AS track_id, count(*) AS n_rows FROM dt_tracks GROUP BY 1, 2, 3 HAVING count(*) > 1")
+def repeated_ids(spark, d):
+    return C.repeated_ids(view(spark, d, "dt_tracks").withColumn("track_id", F.col("track_id") % 1000))
+
+
+@_register("SELECT video_id, track_id, sum(w * h) / 8 AS mean_area, sum(w * h) / count(*) AS mean_seen_area FROM dt_tracks GROUP BY video_id, track_id")
+def track_area(spark, d):
+    return C.track_area(view(spark, d, "dt_tracks"), 8)
+
+
+@_register("""SELECT phrase_id, count(*) AS n_images, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_masks, count(n) AS n_positive, count(*) - count(n) AS n_negative
+  FROM image_np LEFT JOIN (SELECT image_id, count(*) AS n FROM gt_boxes GROUP BY image_id) USING (image_id) GROUP BY phrase_id""")
+def benchmark_profile(spark, d):
+    return C.benchmark_profile(view(spark, d, "image_np"), view(spark, d, "gt_boxes"), "phrase_id")
+
+
+@_register("""SELECT image_id, col, min(row_start) AS row_start, max(row_end) - min(row_start) AS run_len FROM (
+  SELECT *, sum(CASE WHEN reach >= row_start THEN 0 ELSE 1 END) OVER (PARTITION BY image_id, col ORDER BY row_start, row_end ROWS UNBOUNDED PRECEDING) AS part FROM (
+  SELECT image_id, col, row_start, row_start + run_len AS row_end, max(row_start + run_len) OVER (PARTITION BY image_id, col ORDER BY row_start, row_start + run_len
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM mask_runs)) GROUP BY image_id, col, part""")
+def mask_union(spark, d):
+    return C.mask_union(view(spark, d, "mask_runs"), "image_id")
+
+
+@_register("SELECT conv_id, count(*) FILTER (role = 'assistant') AS n_items FROM conversations GROUP BY conv_id")
+def count_items(spark, d):
+    return C.count_items(spark.read.parquet(f"{d}/conversations.parquet"), "assistant")
+
+
+@_register("SELECT image_id, det_id, round(x, 5) AS x, round(y, 5) AS y, round(w, 5) AS w, round(h, 5) AS h, round(score, 5) AS score FROM dt_boxes")
+def write_predictions(spark, d):
+    return C.write_form(view(spark, d, "dt_boxes")).select("image_id", "det_id", "x", "y", "w", "h", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_REGISTRY)
 
