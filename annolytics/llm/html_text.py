@@ -1,6 +1,8 @@
 """The main text of web pages, by tree scoring: paragraphs pass points for their length
-and commas to their ancestors, discounted by link density; the best container and the
-siblings that belong to it are kept."""
+and commas to their ancestors, discounted by link density and by names that tell of things
+beside the article; the best container and the siblings that belong to it are kept. An
+element beside the article is left out only if it holds no article, main element or first
+heading and less than half of the page's paragraph points."""
 
 from __future__ import annotations
 
@@ -22,6 +24,8 @@ ENDS_PARAGRAPH = frozenset("address article aside blockquote div dl fieldset foo
 SIDE_WORDS = frozenset("ad ads advert adverts advertisement sponsor sponsored promo banner sidebar side comment comments disqus replies cookie cookies consent notice notices alert popup modal menu nav navbar navigation breadcrumb breadcrumbs footer header masthead share sharing social related recommended newsletter subscribe signup widget pagination pager".split())
 SIDE_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert dialog alertdialog".split())
 WHOLE = frozenset("html body main article".split())
+#: What may stand in a head; anything else ends it.
+IN_HEAD = frozenset("base basefont bgsound link meta title style script noscript template head html".split())
 
 #: Characters of a paragraph that passes points; points for each so many more, at most three times.
 LEAST_CHARS, CHARS_A_POINT = 25, 100
@@ -29,19 +33,21 @@ LEAST_CHARS, CHARS_A_POINT = 25, 100
 NAMED_POINTS = {"article": 25.0, "main": 15.0}
 #: A sibling stays from this share of the best score on.
 SIBLING_SHARE, SIBLING_LEAST = 0.2, 10.0
+#: Factor of the points of what stands beside the article by its tag, role or name.
+SIDE_FACTOR = 0.25
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "side", "points", "chars", "link_chars")
+    __slots__ = ("tag", "parent", "children", "unseen", "side", "factor", "points", "chars", "link_chars")
 
-    def __init__(self, tag: str, parent: Node | None, side: bool = False):
-        self.tag, self.parent, self.side = tag, parent, side
+    def __init__(self, tag: str, parent: Node | None, unseen: bool = False, side: bool = False):
+        self.tag, self.parent, self.unseen, self.side, self.factor = tag, parent, unseen, side, 1.0
         self.children: list[Node | str] = []
         self.points, self.chars, self.link_chars = 0.0, 0, 0
 
 
 def is_side(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
-    if tag in ASIDE or tag in UNSEEN:
+    if tag in ASIDE:
         return True
     if tag == "header" and not in_article:
         return True
@@ -56,7 +62,7 @@ def is_side(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) ->
 
 
 class TreeBuilder(HTMLParser):
-    """A tree of the page; subtrees beside the article are not built."""
+    """A tree of the page; what no reader sees is not built."""
 
     def __init__(self, keep_side: bool):
         super().__init__(convert_charrefs=True)
@@ -72,14 +78,16 @@ class TreeBuilder(HTMLParser):
         self.now = self.now.parent
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self.open["head"] and (tag == "body" or (tag not in IN_HEAD and not self.open["noscript"] and not self.open["template"])):
+            self._close("head")
         if tag in ENDS_PARAGRAPH and self.open["p"]:
             self._close("p")
         for other in SELF_CLOSING.get(tag, ()):
             if self.now.tag == other or (tag == "p" and self.open["p"]):
                 self._close(other)
-        side = tag in UNSEEN if self.keep_side else is_side(tag, attrs, self.open["article"] + self.open["main"] > 0)
-        node = Node(tag, self.now, side or self.now.side)
-        if not node.side or tag == "br":
+        side = not self.keep_side and is_side(tag, attrs, self.open["article"] + self.open["main"] > 0)
+        node = Node(tag, self.now, tag in UNSEEN or self.now.unseen, side)
+        if not node.unseen or tag == "br":
             self.now.children.append(node)
         if tag not in VOID:
             self.open[tag] += 1
@@ -95,7 +103,9 @@ class TreeBuilder(HTMLParser):
             self._close(tag)
 
     def handle_data(self, data: str) -> None:
-        if not self.now.side:
+        if self.now.tag == "head" and data.strip():
+            self._close("head")
+        if not self.now.unseen:
             self.now.children.append(data)
 
 
@@ -136,13 +146,75 @@ def blocks_of(nodes: list[Node]) -> list[str]:
     return blocks
 
 
-def score_tree(root: Node) -> list[Node]:
-    """Nodes in page order, with chars, link_chars and points set."""
+def in_order(root: Node) -> list[Node]:
     nodes, stack = [], [root]
     while stack:
         x = stack.pop()
         nodes.append(x)
         stack.extend(c for c in reversed(x.children) if isinstance(c, Node))
+    return nodes
+
+
+def paragraph_points(text: str) -> int:
+    if len(text) < LEAST_CHARS:
+        return 0
+    return 1 + text.count(",") + min(len(text) // CHARS_A_POINT, 3)
+
+
+def drop_side(root: Node) -> None:
+    """Take out what stands beside the article, and give the rest of it SIDE_FACTOR. Link
+    text has no weight here; in a page without paragraphs characters count."""
+    nodes = in_order(root)
+    if not any(x.side for x in nodes):
+        return
+    linked: set[Node] = set()
+    weight: dict[Node, list[float]] = {}
+    for x in nodes:
+        if x.tag == "a" or x.parent in linked:
+            linked.add(x)
+        own, stack = [], list(reversed(x.children))
+        if x not in linked and x.tag not in INLINE:
+            while stack:
+                c = stack.pop()
+                if isinstance(c, str):
+                    own.append(c)
+                elif c.tag in INLINE and c.tag != "a":
+                    stack.extend(reversed(c.children))
+        text = "".join(own).strip()
+        weight[x] = [paragraph_points(text), len(text), x.tag in NAMED_POINTS, x.tag == "h1"]
+    for x in reversed(nodes):
+        if x.parent is not None:
+            weight[x.parent] = [a + b for a, b in zip(weight[x.parent], weight[x], strict=True)]
+    unit = 0 if weight[root][0] else 1
+    whole = weight[root][unit]
+    gone: set[Node] = set()
+    past_named: set[Node] = set()  # where an article of its own has the factor too
+    for x in nodes:
+        up = x.parent
+        if up in gone:
+            gone.add(x)
+            continue
+        if up in past_named:
+            past_named.add(x)
+        if up is not None and up.factor < 1 and (x.tag not in NAMED_POINTS or up in past_named):
+            x.factor = SIDE_FACTOR
+        if x.side:
+            mine, named, headings = weight[x][unit], weight[x][2], weight[x][3]
+            small = not mine or 2 * mine < whole
+            if small and not named and not headings:
+                gone.add(x)
+                continue
+            x.factor = SIDE_FACTOR
+            if small and not headings:
+                past_named.add(x)
+    for x in nodes:
+        if x not in gone:
+            x.children = [c for c in x.children if isinstance(c, str) or c not in gone]
+
+
+def score_tree(root: Node) -> list[Node]:
+    """Nodes in page order, with chars, link_chars and points set."""
+    nodes = in_order(root)
     for x in reversed(nodes):
         own = [c for c in x.children if isinstance(c, str)]
         kids = [c for c in x.children if isinstance(c, Node)]
@@ -159,10 +231,9 @@ def score_tree(root: Node) -> list[Node]:
                 own.append(c)
             elif c.tag in INLINE:
                 stack.extend(reversed(c.children))
-        text = "".join(own).strip()
-        if len(text) < LEAST_CHARS:
+        points = paragraph_points("".join(own).strip())
+        if not points:
             continue
-        points = 1 + text.count(",") + min(len(text) // CHARS_A_POINT, 3)
         up, share = (x.parent if x.tag in ("p", "pre", "td", "blockquote", "li") else x), 1.0
         for _ in range(3):
             if up is None:
@@ -170,7 +241,7 @@ def score_tree(root: Node) -> list[Node]:
             up.points += points * share
             up, share = up.parent, share / 2
     for x in nodes:
-        x.points = (x.points + (NAMED_POINTS.get(x.tag, 0.0) if x.chars else 0.0)) * (1 - x.link_chars / x.chars if x.chars else 0.0)
+        x.points = (x.points + (NAMED_POINTS.get(x.tag, 0.0) if x.chars else 0.0)) * (1 - x.link_chars / x.chars if x.chars else 0.0) * x.factor
     return nodes
 
 
@@ -179,6 +250,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     root = parse(html)
+    drop_side(root)
     nodes = score_tree(root)
     best = max(nodes, key=lambda x: x.points)
     if best.points <= 0:
@@ -193,8 +265,12 @@ def main_text(html: str | None) -> str:
         return " ".join(blocks_of([best]))
     kept = []
     for x in best.parent.children:
-        if isinstance(x, Node) and (x is best or x.points >= max(SIBLING_LEAST, SIBLING_SHARE * best.points) or (x.tag == "p" and x.chars > 80 and 4 * x.link_chars < x.chars) or (x.tag in ("h1", "h2", "h3") and x.chars and best.tag not in NAMED_POINTS)):
+        if not isinstance(x, Node):
+            continue
+        if x is best or (not x.side and (x.points >= max(SIBLING_LEAST, SIBLING_SHARE * best.points) or (x.tag == "p" and x.chars > 80 and 4 * x.link_chars < x.chars) or (x.tag in ("h1", "h2", "h3") and x.chars and best.tag not in NAMED_POINTS))):
             kept.append(x)
+        elif best.tag not in NAMED_POINTS:  # a heading in a block of its own
+            kept.extend(h for h in in_order(x) if h.tag == "h1" and h.chars)
     return " ".join(blocks_of(kept))
 
 

@@ -226,6 +226,36 @@ def test_html_text(spark, sf_dir):
         assert html_text.main_text(r.html) == " ".join(w for b in blocks for w in html.unescape(b).split())
 
 
+STORY = "<p>Some story, with words, and commas, that is long enough to be a paragraph.</p><p>And more of it, as stories go, for a second paragraph.</p>"
+STORY_TEXT = "Some story, with words, and commas, that is long enough to be a paragraph. And more of it, as stories go, for a second paragraph."
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (f"<body><div class='content has-sidebar'>{STORY}<div class='sidebar'><p>Other things, of the site, in a side bar.</p></div></div>", STORY_TEXT),
+        (f"<body><div id='page' class='no-comments'><div>{STORY}</div></div>", STORY_TEXT),
+        (f"<body><div class='has-sidebar'><article>{STORY}</article></div>", STORY_TEXT),
+        (f"<body><div><div class='post-header'><h1>Head line</h1></div><div>{STORY}</div></div>", "Head line " + STORY_TEXT),
+        (f"<body><article><div class='post-header'><h1>Head line</h1></div>{STORY}</article>", "Head line " + STORY_TEXT),
+        (f"<body><form action='/'>{STORY}</form>", STORY_TEXT),
+        (f"<html><head><title>T</title><body>{STORY}", STORY_TEXT),
+        (f"<head><title>T</title><noscript><img src='x'></noscript><meta name='a'>{STORY}", STORY_TEXT),
+        (f"<body><article>{STORY}</article><ol class='comments'><li><article><p>A reader, with a comment, of a fair length.</p></article></ol>", STORY_TEXT),
+        ("<body><nav><a href='/'>Home</a></nav><form>Short text</form>", "Short text"),
+        ("<body><nav><a href='/'>Home</a></nav>", ""),
+    ],
+)
+def test_names_beside_the_article_lose_no_article(page, want):
+    assert html_text.main_text(page) == want
+
+
+def test_an_open_head_ends_with_the_body():
+    for page in ("<head><title>T</title><body><p>Seen", "<head><title>T</title><p>Seen", "<head><title>T</title>Seen", "<head><title>T</title><noscript>x</noscript><style>p{}</style><div>Seen"):
+        assert html_text.visible_text(page) == "Seen"
+        assert {k: b for k, _, b in warc.derive(warc.response_record(1, "u", page))}["conversion"] == b"Seen"
+
+
 def test_warc_derivatives(spark):
     record = warc.response_record(7, "http://a.b/c", PAGE)
     source, block = warc.decode_record(record)
