@@ -2,30 +2,37 @@
 
 Two views of a document are judged apart: its text (marks, letters, words and lines) and
 its metadata (language, source, lengths). Each view has a logistic classifier. In each
-round the two score a pool of unlabelled documents, and what one is sure of is a
+round the two score all unlabelled documents, and what one is sure of is a
 pseudo-labelled example of the other. The views are calibrated on labelled rows that
 neither was trained on, and their log odds are added up for the score of all documents.
 
-The classifiers are fitted on the driver from bounded samples: FIT_ROWS labelled and
-POOL_ROWS unlabelled documents, those of least hash; features, not texts, come to the driver.
+Labelled documents are a bounded sample, the FIT_ROWS of least hash, whose features come
+to the driver. The features of all unlabelled ones are a table in the shared folder; each
+Newton step adds up gradient and Hessian by partition, and these sums alone reach the driver.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import small_batches
+from .common import settle, small_batches
 from .text_arrays import byte_runs, words
 
-FIT_ROWS, POOL_ROWS, ROUNDS = 20_000, 10_000, 4
-#: A view is sure of a pool document beyond this probability, for at most so many a round.
-SURE, GROWTH = 0.97, 1000
+FIT_ROWS, ROUNDS = 20_000, 4
+#: A view is sure of an unlabelled document from this probability on.
+SURE = 0.97
+#: Weight of a pseudo-label; a label has 1.
+PSEUDO_WEIGHT = 0.5
+#: Partitions whose sums come to the driver as they are; of more, groups are added up first.
+DIRECT_SUMS = 64
 #: Share of the labelled rows held back for calibration.
 HELD_BACK = 0.3
 #: A document is kept from this probability of good quality on.
@@ -91,29 +98,49 @@ class Logistic:
     slope: float = 1.0
     shift: float = 0.0
 
+    def standard(self, x: np.ndarray) -> np.ndarray:
+        return np.clip((x - self.mean) / self.scale, -8, 8)
+
     def margin(self, x: np.ndarray) -> np.ndarray:
-        z = np.clip((x - self.mean) / self.scale, -8, 8)
-        return self.slope * (z @ self.weights[1:] + self.weights[0]) + self.shift
+        return self.slope * (self.standard(x) @ self.weights[1:] + self.weights[0]) + self.shift
+
+
+def probability(margin: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
+
+
+def newton_sums(x: np.ndarray, y: np.ndarray, weight: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Gradient, then Hessian row by row, of the log likelihood."""
+    p = probability(x @ w)
+    return np.concatenate([x.T @ (weight * (y - p)), ((x * (weight * p * (1 - p))[:, None]).T @ x).ravel()])
+
+
+def newton_step(w: np.ndarray, sums: np.ndarray, ridge: float) -> tuple[np.ndarray, bool]:
+    """The next weights, and whether they are the last."""
+    hold = np.full(len(w), ridge)
+    hold[0] = 1e-3
+    step = np.linalg.solve(sums[len(w) :].reshape(len(w), -1) + np.diag(hold), sums[: len(w)] - hold * w)
+    return w + step * min(1.0, 4 / max(1e-9, np.abs(step).max())), bool(np.abs(step).max() < 1e-6)
 
 
 def newton(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float) -> np.ndarray:
     w = np.zeros(x.shape[1])
-    hold = np.full(x.shape[1], ridge)
-    hold[0] = 1e-3
     for _ in range(25):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(hold), x.T @ (weight * (y - p)) - hold * w)
-        w += step * min(1.0, 4 / max(1e-9, np.abs(step).max()))
-        if np.abs(step).max() < 1e-6:
+        w, last = newton_step(w, newton_sums(x, y, weight, w), ridge)
+        if last:
             break
     return w
 
 
-def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> Logistic:
-    mean, scale = x.mean(0), x.std(0)
-    scale[scale < 1e-9] = 1.0
-    z = np.clip((x - mean) / scale, -8, 8)
-    return Logistic(mean, scale, newton(np.concatenate([np.ones((len(z), 1)), z], 1), y, weight, 1.0))
+def moments(x: np.ndarray, y: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    """Number of rows, sums and sums of squares about the centre."""
+    x = x - centre
+    return np.concatenate([[len(x)], x.sum(0), (x * x).sum(0)])
+
+
+def view_sums(x: np.ndarray, y: np.ndarray, view: Logistic, weight: float) -> np.ndarray:
+    z = view.standard(x)
+    return newton_sums(np.concatenate([np.ones((len(z), 1)), z], 1), y, np.full(len(z), weight), view.weights)
 
 
 def calibrate(view: Logistic, x: np.ndarray, y: np.ndarray) -> None:
@@ -141,7 +168,96 @@ class CoTrained:
         return tuple(1 / (1 + np.exp(-np.clip(m, -30, 30))) for m in (a, b, a + b - self.prior))
 
 
-def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray, rounds: int = ROUNDS, seed: int = 5) -> CoTrained:
+def pseudo_labels(text: np.ndarray, meta: np.ndarray, past: list[list[Logistic]]) -> list[np.ndarray]:
+    """Of each view, the label that the other gave in the first round it was sure; NaN without."""
+    given = [np.full(len(text), np.nan), np.full(len(text), np.nan)]
+    for views in past:
+        for v, x in enumerate((text, meta)):
+            p = probability(views[v].margin(x))
+            sure = (np.maximum(p, 1 - p) >= SURE) & np.isnan(given[1 - v])
+            given[1 - v][sure] = (p[sure] >= 0.5) * 1.0
+    return given
+
+
+Sums = Callable[[np.ndarray, np.ndarray], np.ndarray]
+
+
+class Pool:
+    """Features of all unlabelled documents: table x of binary rows."""
+
+    def __init__(self, table: DataFrame):
+        self.table, self.parts = table, table.rdd.getNumPartitions()
+
+    def sums(self, past: list[list[Logistic]], tasks: list[Sums | None]) -> list[np.ndarray | float]:
+        """What the task of each view gives for its pseudo-labelled rows, added up."""
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total: list[np.ndarray | None] = [None for _ in tasks]
+            for batch in batches:
+                x = _matrix(batch.column(0).to_pylist())
+                both = x[:, :TEXT_FEATURES], x[:, TEXT_FEATURES:]
+                for v, (task, y) in enumerate(zip(tasks, pseudo_labels(*both, past), strict=True)):
+                    some = np.flatnonzero(~np.isnan(y))
+                    if task and len(some):
+                        more = task(both[v][some], y[some])
+                        total[v] = more if total[v] is None else total[v] + more
+            part = TaskContext.get().partitionId()
+            yield _sum_rows([(part, v, x) for v, x in enumerate(total) if x is not None])
+
+        def add_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rows = sorted(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+            yield _sum_rows([(rows[0][0], v, sum(np.frombuffer(x) for _, w, x in rows if w == v)) for v in sorted({r[1] for r in rows})])
+
+        out = self.table.mapInArrow(add, _SUMS)
+        if self.parts > DIRECT_SUMS:
+            groups = int(self.parts**0.5)
+            out = out.repartition(groups, F.pmod("part", F.lit(groups))).mapInArrow(add_again, _SUMS)
+        total: list[np.ndarray | float] = [0.0 for _ in tasks]
+        for row in sorted(out.collect(), key=lambda r: (r.part, r.view)):
+            total[row.view] = total[row.view] + np.frombuffer(row.sums)
+        return total
+
+
+_SUMS = "part int, view int, sums binary"
+
+
+def _sum_rows(rows: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
+    columns = pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2].tobytes() for r in rows], pa.binary())
+    return pa.RecordBatch.from_arrays(list(columns), names=["part", "view", "sums"])
+
+
+def fit_views(labelled: list[tuple[np.ndarray, np.ndarray]], pool: Pool | None, past: list[list[Logistic]]) -> list[Logistic]:
+    """Both views, from the labelled rows and all that the views of the past were sure of;
+    Newton's method starts at the last of these."""
+    empty: list[np.ndarray | float] = [0.0, 0.0]
+    centres = [x.mean(0) for x, _ in labelled]
+    others = pool.sums(past, [partial(moments, centre=c) for c in centres]) if pool and past else empty
+    views = []
+    for v, ((x, y), centre, more) in enumerate(zip(labelled, centres, others, strict=True)):
+        n, first, second = np.split(moments(x, y, centre) + more, [1, 1 + len(centre)])
+        mean, scale = centre + first / n, np.sqrt(np.maximum(second / n - (first / n) ** 2, 0))
+        scale[scale < 1e-9] = 1.0
+        weights = np.zeros(len(centre) + 1)
+        if past:
+            before = past[-1][v]
+            weights[1:] = before.weights[1:] * scale / before.scale
+            weights[0] = before.weights[0] + ((mean - before.mean) / before.scale) @ before.weights[1:]
+        views.append(Logistic(mean, scale, weights))
+    going = [True, True]
+    for _ in range(25):
+        tasks = [partial(view_sums, view=view, weight=PSEUDO_WEIGHT) if go else None for view, go in zip(views, going, strict=True)]
+        others = pool.sums(past, tasks) if pool and past else empty
+        for v, view in enumerate(views):
+            if going[v]:
+                view.weights, last = newton_step(view.weights, view_sums(*labelled[v], view, 1.0) + others[v], 1.0)
+                going[v] = not last
+        if not any(going):
+            break
+    return views
+
+
+def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool: Callable[[], Pool | None], rounds: int = ROUNDS, seed: int = 5) -> CoTrained:
+    """pool is asked for where there is something to learn from."""
     if len(np.unique(y)) < 2:
         return CoTrained([], 0.0)
     turn = np.random.default_rng(seed).permutation(len(y))
@@ -149,26 +265,14 @@ def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.nd
     train = turn[len(held) :]
     if len(np.unique(y[held])) < 2 or len(np.unique(y[train])) < 2:
         held = train = turn
-    labelled, pool = (text, meta), (pool_text, pool_meta)
-    # of each view: pool rows with a pseudo-label from the other, NaN without
-    given = [np.full(len(pool_text), np.nan) for _ in labelled]
-    views: list[Logistic] = []
-    for r in range(rounds + 1):
-        views = []
-        for v in (0, 1):
-            extra = np.flatnonzero(~np.isnan(given[v]))
-            x = np.concatenate([labelled[v][train], pool[v][extra]])
-            weight = np.concatenate([np.ones(len(train)), np.full(len(extra), 0.5)])
-            views.append(fit(x, np.concatenate([y[train], given[v][extra]]), weight))
-            calibrate(views[v], labelled[v][held], y[held])
-        if r == rounds or not len(pool_text):
-            break
-        for v in (0, 1):
-            p = 1 / (1 + np.exp(-np.clip(views[v].margin(pool[v]), -30, 30)))
-            sure = np.flatnonzero((np.maximum(p, 1 - p) >= SURE) & np.isnan(given[1 - v]))
-            sure = sure[np.argsort(-np.abs(p[sure] - 0.5), kind="stable")][:GROWTH]
-            given[1 - v][sure] = (p[sure] >= 0.5) * 1.0
-    return CoTrained(views, float(np.log(y[held].mean() / (1 - y[held].mean()))))
+    rest = pool() if rounds else None
+    past: list[list[Logistic]] = []
+    for _ in range(rounds + 1 if rest else 1):
+        views = fit_views([(x[train], y[train]) for x in (text, meta)], rest, past)
+        for view, x in zip(views, (text, meta), strict=True):
+            calibrate(view, x[held], y[held])
+        past.append(views)
+    return CoTrained(past[-1], float(np.log(y[held].mean() / (1 - y[held].mean()))))
 
 
 def _features(docs: DataFrame) -> DataFrame:
@@ -182,26 +286,36 @@ def _features(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "y", "text", "lang", "source", "n_chars").mapInArrow(features, "doc_id long, y int, x binary")
 
 
+def _matrix(rows: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(rows), "<f4").reshape(len(rows), TEXT_FEATURES + META_FEATURES).astype(float)
+
+
 def _gathered(found: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rows = found.groupBy("doc_id").agg(F.min(F.struct("x", "y")).alias("one")).select("doc_id", "one.*").toPandas().sort_values("doc_id")
-    x = np.frombuffer(b"".join(rows["x"]), "<f4").reshape(len(rows), TEXT_FEATURES + META_FEATURES).astype(float)
+    x = _matrix(list(rows["x"]))
     return x[:, :TEXT_FEATURES], x[:, TEXT_FEATURES:], rows["y"].to_numpy(float)
 
 
-def train_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, pool_rows: int = POOL_ROWS, rounds: int = ROUNDS) -> CoTrained:
-    """Fit on the labelled documents. Labels that are null or other than 0 and 1, or of
-    documents that are not there, are left out; an id labelled twice counts once, as bad
-    if one label says so."""
+def unlabelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Features x of every document without a label, those without an id among them."""
+    found = _features(docs.withColumn("y", F.lit(None).cast("int"))).select("doc_id", "x")
+    # null ids are dealt out by their features
+    found = found.withColumn("spread", F.when(F.col("doc_id").isNull(), F.xxhash64("x")).otherwise(F.lit(0)))
+    return settle(found.join(labels.select("doc_id", F.lit(0).cast("long").alias("spread")), ["doc_id", "spread"], "left_anti").select("x"))
+
+
+def train_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, rounds: int = ROUNDS) -> CoTrained:
+    """Fit on the labelled documents and on all unlabelled ones that a view is sure of.
+    Labels that are null or other than 0 and 1, or of documents that are not there, are
+    left out; an id labelled twice counts once, as bad if one label says so."""
+    small_batches(docs.sparkSession)
     docs = _typed(docs)
     labels = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)")
     labels = labels.groupBy("doc_id").agg(F.min("y").alias("y"))
     chosen = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-    ids = docs.select("doc_id").filter("doc_id is not null").distinct().join(labels, "doc_id", "left_anti")
-    pool = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(pool_rows).withColumn("y", F.lit(-1))
-    # both samples are bounded by their limits
-    found = _features(docs.join(F.broadcast(chosen.unionByName(pool)), "doc_id"))
-    text, meta, y = _gathered(found)
-    return co_train(text[y >= 0], meta[y >= 0], y[y >= 0], text[y < 0], meta[y < 0], rounds)
+    # the sample is bounded by its limit
+    text, meta, y = _gathered(_features(docs.join(F.broadcast(chosen), "doc_id")))
+    return co_train(text, meta, y, lambda: Pool(unlabelled(docs, labels)), rounds)
 
 
 def _typed(docs: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import plain
-from annolytics.llm import html_text, warc
+from annolytics.llm import html_text, quality, warc
 from annolytics.llm.embedding_dedup import embedding_components
 from annolytics.llm.mixing import mix_documents, mix_sizes
 from annolytics.llm.ngram_join import ngram_components, one_of_each
@@ -189,6 +189,48 @@ def test_quality(spark, awkward, documents, sf_dir):
     assert classify_quality(awkward, odd).count() == awkward.count()
 
 
+def plain_co_training(text, meta, y, pool, rounds=4):
+    """All in memory: every pool row that a view is sure of is an example of the other."""
+    turn = np.random.default_rng(5).permutation(len(y))
+    held, train = turn[: int(len(y) * 0.3)], turn[int(len(y) * 0.3) :]
+    given, views = [np.full(len(pool[0]), np.nan) for _ in pool], []
+    for r in range(rounds + 1):
+        views = []
+        for v, x in enumerate((text, meta)):
+            extra = np.flatnonzero(~np.isnan(given[v]))
+            rows, weight = np.concatenate([x[train], pool[v][extra]]), np.r_[np.ones(len(train)), np.full(len(extra), 0.5)]
+            scale = np.where(rows.std(0) < 1e-9, 1.0, rows.std(0))
+            view = quality.Logistic(rows.mean(0), scale, np.zeros(0))
+            view.weights = quality.newton(np.c_[np.ones(len(rows)), view.standard(rows)], np.r_[y[train], given[v][extra]], weight, 1.0)
+            quality.calibrate(view, x[held], y[held])
+            views.append(view)
+        for v in (0, 1) if r < rounds else ():
+            p = 1 / (1 + np.exp(-np.clip(views[v].margin(pool[v]), -30, 30)))
+            sure = (np.maximum(p, 1 - p) >= 0.97) & np.isnan(given[1 - v])
+            given[1 - v][sure] = p[sure] >= 0.5
+    return views, [int((~np.isnan(g)).sum()) for g in given]
+
+
+def test_quality_learns_from_all_unlabelled_rows(spark, sf_dir, monkeypatch):
+    larger = sf_dir.replace("sf0.001", "sf0.01")  # on fewer labels no view is ever sure
+    documents, labels = spark.read.parquet(f"{larger}/documents.parquet"), spark.read.parquet(f"{larger}/labels.parquet")
+    more = documents.crossJoin(spark.range(1, 13).withColumnRenamed("id", "again"))
+    more = more.withColumn("doc_id", F.when(F.col("again") < 12, F.col("doc_id") + 1_000_000 * F.col("again"))).drop("again")
+    docs = documents.unionByName(more)
+    good = labels.select("doc_id", F.col("quality").alias("y"))
+    typed = quality._typed(docs)
+    text, meta, y = quality._gathered(quality._features(typed.join(good, "doc_id")))
+    rest = quality._matrix([r.x for r in quality._features(typed.join(good.select("doc_id"), "doc_id", "left_anti").withColumn("y", F.lit(-1))).collect()])
+    want, given = plain_co_training(text, meta, y, (rest[:, : quality.TEXT_FEATURES], rest[:, quality.TEXT_FEATURES :]))
+    assert len(rest) > 8_000 and max(given) > 4_000
+    for direct in (64, 0):
+        monkeypatch.setattr(quality, "DIRECT_SUMS", direct)
+        model = quality.train_quality(docs, labels)
+        for a, b in zip(model.views, want, strict=True):
+            assert np.allclose(a.margin(a.mean + 0.5 * a.scale), b.margin(a.mean + 0.5 * a.scale), atol=1e-3)
+            assert np.allclose(a.weights, b.weights, atol=1e-4) and np.allclose(a.mean, b.mean)
+
+
 def test_tables_may_be_empty(spark, documents):
     none = documents.limit(0)
     for out in (ngram_components(none), suffix_dedup(none), shard_rows(none), pack_documents(none), mix_sizes(none), mix_documents(none), one_of_each(none), without_repeats(none)):
