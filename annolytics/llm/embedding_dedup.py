@@ -2,7 +2,10 @@
 multi-index Hamming tables (Norouzi, Punjani and Fleet, 2012).
 
 Centred vectors are turned by learned rotations whose signs are balanced binary codes;
-TABLES substrings of BITS bits are the keys of as many tables. Vectors of one label that
+substrings of these are the keys of as many tables. The angle that is left of a link after
+centring sets their numbers: pairs at the least cosine are planted in the sample, and of
+all widths of a substring with the tables that show LEAST_RECALL of these pairs the
+cheapest is taken, at width 0 all vectors of a label. Vectors of one label that
 share a substring meet in its bucket, where the original vectors decide. Equal vectors
 are one class throughout. A bucket above CELL classes is a grid of cells; a cell counts
 the links whose first common table is its own, and gives one edge for each vector to the
@@ -24,8 +27,13 @@ from .vectors import matrix, packed, sorted_groups
 
 LEAST_COSINE = 0.93
 SAMPLE, ROUNDS = 20_000, 30
-TABLES, BITS = 12, 12
 CELL = 1024
+#: Share of planted pairs at the least cosine that the tables must show, and how many are planted.
+LEAST_RECALL, PLANTED = 0.96, 2000
+#: Bits of a vector and of a substring, at most.
+MOST_BITS, MOST_WIDTH = 384, 16
+#: Comparisons that cost as much as to ship a vector to a table.
+SHIPPED = 256
 
 
 def learn_rotation(unit: np.ndarray, seed: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -37,17 +45,51 @@ def learn_rotation(unit: np.ndarray, seed: int, rounds: int = ROUNDS) -> np.ndar
     return turn
 
 
-class Coder:
-    """Codes of unit vectors of `dim` components: TABLES integers of BITS bits each."""
+def planted(unit: np.ndarray, cosine: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs at this cosine, that part in any direction and in those of the sample."""
+    rng = np.random.default_rng(7)
+    one = unit[rng.integers(0, len(unit), PLANTED)]
+    out = []
+    for away in (rng.normal(size=one.shape), unit[rng.integers(0, len(unit), PLANTED)] - unit[rng.integers(0, len(unit), PLANTED)]):
+        away = away - (away * one).sum(1, keepdims=True) * one
+        size = np.sqrt((away * away).sum(1, keepdims=True))
+        some = size[:, 0] > 1e-9
+        out.append((one[some], cosine * one[some] + np.sqrt(1 - cosine**2) * (away / np.maximum(size, 1e-9))[some]))
+    return [x for x in out if len(x[0])]
+
 
-    def __init__(self, dim: int, sample: np.ndarray):
-        self.mean = sample.mean(0) if len(sample) else np.zeros(dim)
-        turns = -(-TABLES * BITS // dim)
-        self.turn = np.concatenate([learn_rotation(sample - self.mean, seed) for seed in range(turns)], axis=1)
+class Coder:
+    """Codes of unit vectors of `dim` components: `tables` integers of `width` bits each.
+    `rows` is the number of vectors of a label that a vector would meet without tables;
+    without a sample all meet."""
+
+    def __init__(self, dim: int, sample: np.ndarray, least: float, rows: float):
+        self.mean, self.turn, self.tables, self.width = np.zeros(dim), np.zeros((dim, 0)), 1, 0
+        if len(sample) < 2 or dim < 2 or rows <= SHIPPED:
+            return
+        self.mean = sample.mean(0)
+        turn = np.concatenate([learn_rotation(sample - self.mean, seed) for seed in range(-(-MOST_BITS // dim))], axis=1)[:, :MOST_BITS]
+        same = [((a - self.mean) @ turn >= 0) == ((b - self.mean) @ turn >= 0) for a, b in planted(sample, min(least, 1.0))]
+        signs = (sample[:PLANTED] - self.mean) @ turn >= 0
+        cheapest = rows + SHIPPED
+        for width in range(1, MOST_WIDTH + 1):
+            most = turn.shape[1] // width
+            shown = [x[:, : most * width].reshape(len(x), most, width).all(2) for x in same]
+            recall = np.min([np.logical_or.accumulate(x, 1).mean(0) for x in shown], 0)
+            if recall[-1] < LEAST_RECALL:
+                continue
+            tables = int(np.argmax(recall >= LEAST_RECALL)) + 1
+            codes, met = signs[:, : tables * width].reshape(len(signs), tables, width) @ (1 << np.arange(width)), 0.0
+            for code in codes.T:
+                sizes = np.unique(code, return_counts=True)[1].astype(float)
+                met += (sizes * (sizes - 1)).sum() / (len(signs) * (len(signs) - 1))
+            cost = met * rows + tables * SHIPPED
+            if cost < cheapest:
+                cheapest, self.tables, self.width, self.turn = cost, tables, width, turn[:, : tables * width]
 
     def codes(self, unit: np.ndarray) -> np.ndarray:
-        bits = ((unit - self.mean) @ self.turn)[:, : TABLES * BITS] >= 0
-        return (bits.reshape(len(unit), TABLES, BITS) @ (1 << np.arange(BITS))).astype(np.uint16)
+        bits = (unit - self.mean) @ self.turn >= 0
+        return (bits.reshape(len(unit), self.tables, self.width) @ (1 << np.arange(self.width))).astype(np.uint16)
 
 
 def unit_rows(rows: np.ndarray) -> np.ndarray:
@@ -62,7 +104,7 @@ def give_codes(batches: Iterator[pa.RecordBatch], coders: dict[int, Coder]) -> I
         vecs = batch.column(2).to_pylist()
         for dim in np.unique(dims).tolist():
             at = np.flatnonzero(dims == dim)
-            coder = coders.get(dim) or coders.setdefault(dim, Coder(dim, np.zeros((0, dim))))
+            coder = coders.get(dim) or coders.setdefault(dim, Coder(dim, np.zeros((0, dim)), 1.0, 0.0))
             for i, row in zip(at.tolist(), coder.codes(unit_rows(matrix([vecs[i] for i in at.tolist()]))), strict=True):
                 out[i] = row.tobytes()
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([list(np.frombuffer(x, np.uint16).tolist()) for x in out], pa.list_(pa.int32()))], names=["class_id", "codes"])
@@ -115,8 +157,12 @@ def embedding_components(vectors: DataFrame, least: float = LEAST_COSINE) -> Dat
     live = live.withColumn("class_id", F.xxhash64("label", "vec"))
     live = settle(live)
     classes = settle(live.groupBy("class_id", "label", "dim", "vec").agg(F.count("*").alias("copies"), F.min("vec_id").alias("rep")))
-    sample = classes.orderBy(F.xxhash64("class_id")).limit(SAMPLE).select("dim", "vec").toPandas()
-    coders = {int(d): Coder(int(d), unit_rows(matrix(list(g["vec"])))) for d, g in sample.groupby("dim")}
+    sample = classes.orderBy(F.xxhash64("class_id")).limit(SAMPLE).select("dim", "vec", F.xxhash64("label").alias("label")).toPandas()
+    times = classes.count() / max(1, len(sample))
+    coders = {}
+    for d, g in sample.groupby("dim"):
+        of_label = g["label"].value_counts().to_numpy(float)
+        coders[int(d)] = Coder(int(d), unit_rows(matrix(list(g["vec"]))), least, times * (of_label**2).sum() / of_label.sum())
     codes = classes.select("class_id", "dim", "vec").mapInArrow(lambda it: give_codes(it, coders), "class_id long, codes array<int>")
     coded = settle(codes.join(classes.drop("rep"), "class_id"))
 
