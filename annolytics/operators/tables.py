@@ -90,6 +90,27 @@ def count_metrics(frames: DataFrame) -> DataFrame:
     return frames.groupBy("video_id").agg(F.count("*").alias("n_boxes"), F.countDistinct("track_id").alias("n_ids"), F.countDistinct("frame_idx").alias("n_frames"))
 
 
+def count_both(gt: DataFrame, dt: DataFrame) -> DataFrame:
+    """Boxes and ids of either side and frames of both, for each video and, with a null
+    video_id, summed over all."""
+    sides = gt.select("video_id", "frame_idx", F.col("track_id").alias("gt_id"), F.lit(None).cast("long").alias("dt_id"), F.lit(1).alias("is_gt"))
+    sides = sides.unionByName(dt.select("video_id", "frame_idx", F.lit(None).cast("long").alias("gt_id"), F.col("track_id").alias("dt_id"), F.lit(0).alias("is_gt")))
+    names = ("dets", "gt_dets", "ids", "gt_ids", "frames")
+    values = (F.count_if(F.col("is_gt") == 0), F.count_if(F.col("is_gt") == 1), F.countDistinct("dt_id"), F.countDistinct("gt_id"), F.countDistinct("frame_idx"))
+    each = sides.groupBy("video_id").agg(*(v.alias(n) for n, v in zip(names, values, strict=True)))
+    return each.unionByName(each.agg(*(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names)).withColumn("video_id", F.lit(None).cast("long")))
+
+
+def mean_target_iou(images: DataFrame, targets: DataFrame, matched: DataFrame) -> DataFrame:
+    """For each image the sum of IoU over its targets that are not empty, a target without
+    a match counting 0, by their number; 1.0 without targets. matched: image_id, ann_id, iou,
+    one row for a target at most."""
+    full = targets.filter("w > 0 and h > 0").select("image_id", "ann_id").join(matched.select("image_id", "ann_id", "iou"), ["image_id", "ann_id"], "left")
+    sums = full.groupBy("image_id").agg(F.count("*").alias("n_targets"), F.sum(F.coalesce("iou", F.lit(0.0))).alias("total"))
+    out = images.select("image_id").distinct().join(sums, "image_id", "left")
+    return out.select("image_id", F.coalesce("n_targets", F.lit(0)).alias("n_targets"), F.coalesce(F.col("total") / F.col("n_targets"), F.lit(1.0)).alias("mean_iou"))
+
+
 def compact_history(turns: DataFrame, first: str, second: str) -> DataFrame:
     """The first two turns, and all from the last later assistant turn that holds both
     markers on."""

@@ -14,8 +14,8 @@ BOX_TERM, IMAGE_TERM = 1e-4, 1e-6
 
 
 def image_eval(images: DataFrame, gt: DataFrame, dt: DataFrame, least_score: float = 0.5) -> DataFrame:
-    """One row for each image and threshold: tp, fp, fn of boxes, and f1 of images with
-    anything on either side."""
+    """One row for each image and threshold: tp, fp, fn of boxes; precision, recall and f1
+    of images with anything on either side; and il_tp, il_fp, il_fn, il_tn of the image."""
     gt, dt = drop_crowd(gt), score_filter(dt, least_score)
     matched = optimal_match(candidate_pairs(gt, dt, "image_id"), "image_id", "ann_id", "det_id", "iou")
     hits = matched.groupBy("image_id").agg(*(F.count_if(F.col("iou") >= t).alias(f"tp{i}") for i, t in enumerate(THRESHOLDS)))
@@ -26,7 +26,9 @@ def image_eval(images: DataFrame, gt: DataFrame, dt: DataFrame, least_score: flo
     rows = rows.withColumns({"fp": F.col("n_dt") - F.col("tp"), "fn": F.col("n_gt") - F.col("tp")})
     precision, recall = F.col("tp") / (F.col("tp") + F.col("fp") + BOX_TERM), F.col("tp") / (F.col("tp") + F.col("fn") + BOX_TERM)
     f1 = 2 * precision * recall / (precision + recall + BOX_TERM)
-    return rows.withColumn("f1", F.when((F.col("n_gt") > 0) | (F.col("n_dt") > 0), f1))
+    there, found = F.col("n_gt") > 0, F.col("n_dt") > 0
+    rows = rows.withColumns({n: F.when(there | found, c) for n, c in (("precision", precision), ("recall", recall), ("f1", f1))})
+    return rows.withColumns({"il_tp": there & found, "il_fp": ~there & found, "il_fn": there & ~found, "il_tn": ~there & ~found})
 
 
 def concept_f1(rows: DataFrame) -> DataFrame:
@@ -37,11 +39,29 @@ def concept_f1(rows: DataFrame) -> DataFrame:
     out = rows.groupBy("threshold").agg(*(c.alias(n) for n, c in sums.items()))
     recall = F.col("tp") / (F.col("tp") + F.col("fn") + BOX_TERM)
 
+    def precision(fp: str):
+        return F.col("tp") / (F.col("tp") + F.col(fp) + BOX_TERM)
+
     def f1(fp: str):
-        precision = F.col("tp") / (F.col("tp") + F.col(fp) + BOX_TERM)
-        return 2 * precision * recall / (precision + recall + BOX_TERM)
+        return 2 * precision(fp) * recall / (precision(fp) + recall + BOX_TERM)
 
     a, b, c, d = (F.col(x).cast("double") for x in ("il_tp", "il_fp", "il_fn", "il_tn"))
     mcc = (a * d - b * c) / (F.sqrt((a + b) * (a + c) * (d + b) * (d + c)) + IMAGE_TERM)
+    il_precision, il_recall = a / (a + b + IMAGE_TERM), a / (a + c + IMAGE_TERM)
+    out = out.withColumns({"precision": precision("fp"), "recall": recall, "positive_micro_precision": precision("pos_fp")})
+    out = out.withColumns({"il_precision": il_precision, "il_recall": il_recall, "il_f1": 2 * il_precision * il_recall / (il_precision + il_recall + IMAGE_TERM), "il_fpr": b / (b + d + IMAGE_TERM)})
     out = out.withColumns({"micro_f1": f1("fp"), "positive_micro_f1": f1("pos_fp"), "positive_macro_f1": F.col("f1_sum") / F.greatest("n_both", F.lit(1)), "il_mcc": mcc})
-    return out.withColumn("cgf1", F.col("positive_micro_f1") * F.col("il_mcc")).select("threshold", "tp", "fp", "fn", "micro_f1", "positive_micro_f1", "positive_macro_f1", "il_tp", "il_fp", "il_fn", "il_tn", "il_mcc", "cgf1")
+    return out.withColumn("cgf1", F.col("positive_micro_f1") * F.col("il_mcc")).select("threshold", "tp", "fp", "fn", "precision", "recall", "micro_f1", "positive_micro_precision", "positive_micro_f1", "positive_macro_f1", "il_tp", "il_fp", "il_fn", "il_tn", "il_precision", "il_recall", "il_f1", "il_fpr", "il_mcc", "cgf1")
+
+
+#: Metrics of boxes, which have a value for each threshold, and of images.
+BOX_METRICS = ("cgf1", "precision", "recall", "micro_f1", "positive_macro_f1", "positive_micro_f1", "positive_micro_precision")
+IMAGE_METRICS = ("il_precision", "il_recall", "il_f1", "il_fpr", "il_mcc")
+
+
+def summarize(metrics: DataFrame) -> DataFrame:
+    """One row over concept_f1 rows: box metrics as means over the thresholds, at 0.5 and
+    at 0.75, and image metrics."""
+    out = [F.avg(m).alias(m) for m in BOX_METRICS] + [F.max(m).alias(m) for m in IMAGE_METRICS]
+    out += [F.max(F.when(F.col("threshold") == t, F.col(m))).alias(f"{m}_{round(100 * t)}") for t in (0.5, 0.75) for m in BOX_METRICS]
+    return metrics.agg(*out)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .functions import boxes as B
 from .operators import curation as C, matching as M, tables as T
-from .plans.concept_f1 import concept_f1, image_eval
+from .plans.concept_f1 import concept_f1, image_eval, summarize
 
 _FRAMES = "(VALUES (0),(1),(2),(3),(4),(5),(6),(7)) AS f(frame_idx)"
 #: Views over the given tables, as both engines run them; each may use those before it.
@@ -73,6 +73,18 @@ def evaluate_cgf1(spark, d):
     return concept_f1(image_eval(view(spark, d, "image_np"), view(spark, d, "gt_boxes"), view(spark, d, "dt_boxes")))
 
 
+@_register()
+def summarize_cgf1(spark, d):
+    return summarize(evaluate_cgf1(spark, d))
+
+
+@_register()
+def mean_target_iou(spark, d):
+    gt = view(spark, d, "gt_boxes")
+    matched = M.optimal_match(T.candidate_pairs(gt, view(spark, d, "dt_boxes"), "image_id"), "image_id", "ann_id", "det_id", "iou")
+    return T.mean_target_iou(view(spark, d, "image_np"), gt, matched)
+
+
 @_register()
 def optimal_match(spark, d):
     return M.optimal_match(T.candidate_pairs(view(spark, d, "gt_boxes"), view(spark, d, "dt_boxes"), "image_id"), "image_id", "ann_id", "det_id", "iou")
@@ -147,6 +159,16 @@ def count_metrics(spark, d):
     return T.count_metrics(view(spark, d, "dt_tracks"))
 
 
+_BOTH = """(SELECT video_id, count(*) FILTER (s = 0) AS dets, count(*) FILTER (s = 1) AS gt_dets, count(DISTINCT track_id) FILTER (s = 0) AS ids,
+  count(DISTINCT track_id) FILTER (s = 1) AS gt_ids, count(DISTINCT frame_idx) AS frames FROM (SELECT video_id, frame_idx, track_id, 1 AS s FROM gt_tracks
+  UNION ALL SELECT video_id, frame_idx, track_id, 0 AS s FROM dt_tracks) GROUP BY video_id)"""
+
+
+@_register(f"SELECT * FROM {_BOTH} UNION ALL SELECT NULL, {', '.join(f'CAST(sum({c}) AS BIGINT)' for c in ('dets', 'gt_dets', 'ids', 'gt_ids', 'frames'))} FROM {_BOTH}")
+def count_both(spark, d):
+    return T.count_both(view(spark, d, "gt_tracks"), view(spark, d, "dt_tracks"))
+
+
 @_register("SELECT coalesce(g.image_id, t.image_id) AS image_id, coalesce(g.category_id, t.category_id) AS category_id, coalesce(g.a, 0) AS in_gt, coalesce(t.b, 0) AS in_dt FROM (SELECT DISTINCT image_id, category_id, 1 AS a FROM gt_boxes) g FULL JOIN (SELECT DISTINCT image_id, category_id, 1 AS b FROM dt_boxes) t ON g.image_id = t.image_id AND g.category_id = t.category_id")
 def pair_universe(spark, d):
     return T.pair_universe(view(spark, d, "gt_boxes"), view(spark, d, "dt_boxes"), "image_id", "category_id")

@@ -9,9 +9,12 @@ import os
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from annolytics import queries as Q
+from annolytics.operators import tables as T
 from annolytics.operators.matching import assign
+from annolytics.plans.concept_f1 import concept_f1, image_eval, summarize
 
 
 @pytest.mark.parametrize("name", sorted(Q.oracle_sql()))
@@ -44,6 +47,27 @@ def test_concept_f1(spark, sf_dir):
     assert 0 <= rows[0.5].micro_f1 <= 1 and -1 <= rows[0.5].il_mcc <= 1
 
 
+def test_concept_f1_has_all_outputs(spark):
+    boxes = [(1, 1, 0, 0.9, 0.0, 0.0, 10.0, 10.0), (2, 2, 0, 0.9, 0.0, 0.0, 10.0, 10.0), (2, 3, 0, 0.9, 50.0, 0.0, 10.0, 10.0)]
+    gt = spark.createDataFrame(boxes, "image_id long, ann_id long, iscrowd int, score double, x double, y double, w double, h double")
+    dt = gt.filter("ann_id <> 3").withColumn("image_id", F.when(F.col("ann_id") == 1, 3).otherwise(2)).withColumnRenamed("ann_id", "det_id")
+    images = spark.createDataFrame([(i,) for i in (1, 2, 3, 4)], "image_id long")  # missed, half found, false, empty
+    per_image = {r.image_id: r for r in image_eval(images, gt, dt).filter("threshold = 0.5").collect()}
+    assert [per_image[i].recall and round(per_image[i].recall, 3) for i in (1, 2, 3, 4)] == [0.0, 0.5, 0.0, None]
+    assert [per_image[2].il_tp, per_image[3].il_fp, per_image[1].il_fn, per_image[4].il_tn] == [True] * 4
+    row = summarize(concept_f1(image_eval(images, gt, dt))).first()
+    assert len(row) == 26 and row.precision_50 == pytest.approx(1 / 2, abs=1e-3) and row.recall == pytest.approx(1 / 3, abs=1e-3)
+    assert row.positive_micro_precision_75 == pytest.approx(1, abs=1e-3)
+    assert [row.il_precision, row.il_recall, row.il_f1, row.il_fpr] == pytest.approx([0.5] * 4, abs=1e-3)
+
+
+def test_mean_target_iou_counts_missed_targets(spark):
+    gt = spark.createDataFrame([(1, 1, 5.0, 5.0), (1, 2, 5.0, 5.0), (1, 3, 0.0, 5.0), (2, 4, 5.0, 5.0)], "image_id long, ann_id long, w double, h double")
+    images = spark.createDataFrame([(1,), (2,), (3,)], "image_id long")
+    matched = spark.createDataFrame([(1, 1, 0.8)], "image_id long, ann_id long, iou double")
+    assert sorted(map(tuple, T.mean_target_iou(images, gt, matched).collect())) == [(1, 2, 0.4), (2, 1, 0.0), (3, 0, 1.0)]
+
+
 def test_nms_keeps_the_best_and_no_overlap(spark):
     boxes = [(1, 1, 0.9, 0.0, 0.0, 2.0, 1.0), (1, 2, 0.8, 0.0, 0.0, 1.0, 1.0), (1, 3, 0.8, 0.0, 0.0, 1.9, 1.0), (2, 4, 0.05, 0.0, 0.0, 1.0, 1.0), (2, 5, 0.9, 5.0, 5.0, 1.0, 1.0)]
     table = spark.createDataFrame(boxes, "image_id long, det_id long, score double, x double, y double, w double, h double")
