@@ -43,7 +43,9 @@ def threshold_search(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarra
         for i in reversed(range(len(depths))):
             d = depths[i]
             bound = up @ values[len(block) - 1 - d] + down @ values[d]
-            stop[bound * (1 + 1e-12) + 1e-9 * (not exact) < kth] = i
+            if not exact:
+                bound = bound + 1e-12 * np.abs(bound) + 1e-9
+            stop[bound < kth] = i
         for i in range(len(depths) + 1):
             who = np.flatnonzero(stop == i)
             if not len(who) or (i < len(depths) and depths[i] == 0):

@@ -21,7 +21,7 @@ from annolytics.llm.packing import pack_documents
 from annolytics.llm.quality import classify_quality
 from annolytics.llm.sharding import jump_hash, shard_rows
 from annolytics.llm.suffix_dedup import suffix_dedup, without_repeats
-from annolytics.llm.topk import top_k
+from annolytics.llm.topk import threshold_search, top_k
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, shard int, part string, n int, offset long"
 
@@ -136,6 +136,15 @@ def test_top_k(spark):
     assert rows_of(top_k(vectors), "query_id", "rank", "vec_id", "score") == sorted(want, key=str)
 
 
+def test_threshold_search_keeps_ties_of_negative_scores():
+    # longest first: the first block holds id 9, the second the same score with a smaller id
+    rows, ids = np.array([[-5.0, 3.0], [-5.0, 0.0], [-5.0, 0.0], [-5.0, 0.0]]), np.array([9, 1, 2, 3])
+    _, found, score = threshold_search(np.array([[1.0, 0.0]]), np.array([100]), rows, ids, 1, block_rows=1)
+    assert found.tolist() == [1] and score.tolist() == [-5]
+    _, found, _ = threshold_search(np.array([[1.0, 0.0]]), np.array([100]), rows, ids, 2, block_rows=2)
+    assert sorted(found.tolist()) == [1, 2]
+
+
 def test_jump_hash_moves_rows_into_the_new_shard_alone():
     keys = np.random.default_rng(2).integers(0, 2**63, 20_000).astype(np.uint64)
     a, b = jump_hash(keys, 40), jump_hash(keys, 41)
