@@ -9,48 +9,121 @@ holds the open bins alone.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import settle
+from .common import settle, small_batches
 
 LENGTH, END_ID = 2048, 0
 OPEN_BINS = 512
 GROUP_ROWS = 40_000
 VOCABULARY = "word_bpe_49k.json"
-#: Characters of text that one call of the tokenizer gets, unless a single text is longer.
-CALL_CHARS = 200_000
+#: Characters of text that are coded together, unless a single text is longer.
+RUN_CHARS = 2_000_000
+#: Words that a worker remembers; beyond them it starts anew.
+KNOWN_WORDS = 1_000_000
+#: Marks that, at either end of a word, are a token of their own beside its letters.
+MARKS = ".,;:!?()[]{}\"-_*&$#%@/+=~"
 
 _PIECE = "doc_id long, doc_key long, piece int, start long, length long, ids_crc32 long"
 
 
+def laid_out(flat: np.ndarray, first: np.ndarray, size: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The slices `of` of flat end to end, and where each begins (and the last ends)."""
+    upto = np.cumsum(np.append(0, size[of]))
+    return flat[np.repeat(first[of] - upto[:-1], size[of]) + np.arange(upto[-1])], upto
+
+
+class WordCoder:
+    """Ids of texts, word by word: the vocabulary's rules never reach across white space, so
+    each distinct word is coded once, and texts are put together from the words' ids. A
+    word of Latin letters is kept in lower case and apart from the marks around it, as the
+    rules would have it; others are coded as they stand."""
+
+    def __init__(self, vocabulary: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(vocabulary)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words: dict[str, int] = {}
+        self.parts: dict[str, int] = {"": 0}
+        self.of_word = np.zeros((0, 3), np.int64)
+        self.flat, self.first, self.size = np.zeros(0, "<u4"), np.zeros(1, np.int64), np.zeros(1, np.int64)
+
+    def _split(self, word: str) -> tuple[str, str, str]:
+        if max(word) <= "ÿ":
+            low = word.lower()
+            tail = low.rstrip(MARKS)
+            stem = tail.lstrip(MARKS)
+            if stem.isalpha():
+                return low[: len(tail) - len(stem)], stem, low[len(tail) :]
+        return "", word, ""
+
+    def _learn(self, new: list[str]) -> None:
+        split = [self._split(w) if w else ("", "", "") for w in new]
+        parts = list(dict.fromkeys(p for s in split for p in s if p not in self.parts))
+        coded = [np.array(c.ids, "<u4") for c in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        sizes = np.array([len(c) for c in coded], np.int64)
+        self.first = np.append(self.first, len(self.flat) + np.cumsum(sizes) - sizes)
+        self.size = np.append(self.size, sizes)
+        self.flat = np.concatenate([self.flat, *coded])
+        self.parts.update(zip(parts, range(len(self.parts), len(self.parts) + len(parts)), strict=True))
+        self.of_word = np.concatenate([self.of_word, np.array([[self.parts[p] for p in s] for s in split], np.int64).reshape(-1, 3)])
+        self.words.update(zip(new, range(len(self.words), len(self.words) + len(new)), strict=True))
+
+    def code(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids end to end, each text closed by END_ID, and where each text begins."""
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if len(self.words) > KNOWN_WORDS:
+            self._forget()
+        new = [w for w in distinct if w not in self.words]
+        if new:
+            self._learn(new)
+        parts = self.of_word[np.fromiter(map(self.words.__getitem__, distinct), np.int64, len(distinct))].ravel()
+        flat, upto = laid_out(self.flat, self.first, self.size, parts)
+        begin = upto[::3]
+        flat, upto = laid_out(flat, begin[:-1], np.diff(begin), coded.indices.to_numpy())
+        ends = upto[np.cumsum(pc.list_value_length(split).to_numpy())]
+        return np.insert(flat, ends, np.uint32(END_ID)).astype("<u4"), np.append(0, ends + np.arange(1, len(ends) + 1))
+
+
+@cache
+def word_coder(vocabulary: str) -> WordCoder:
+    """One for each worker process, whose tasks share what it has learnt."""
+    return WordCoder(vocabulary)
+
+
 def cut_into_pieces(batches: Iterator[pa.RecordBatch], vocabulary: str, length: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     """doc_id, doc_key, text -> pieces, with their ids as little-endian bytes if wanted."""
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(vocabulary)
+    coder = word_coder(vocabulary)
     names = [x.split()[0] for x in _PIECE.split(", ")] + ["ids"] * with_ids
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.binary()] * with_ids
     for batch in batches:
-        ids, keys, texts = (c.to_pylist() for c in batch.columns)
-        at = 0
+        ids, keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.large_string())
+        upto, at = np.cumsum(pc.utf8_length(texts).to_numpy()), 0
         while at < len(texts):
-            end, chars = at, 0
-            while end < len(texts) and (end == at or chars + len(texts[end]) <= CALL_CHARS):
-                chars += len(texts[end])
-                end += 1
+            before = upto[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(upto, before + RUN_CHARS, "right")))
+            tokens, begins = coder.code(texts[at:end])
             rows = []
-            for i, coded in zip(range(at, end), tokenizer.encode_batch_fast(texts[at:end], add_special_tokens=False), strict=True):
-                tokens = np.append(np.array(coded.ids, "<u4"), np.uint32(END_ID)).astype("<u4")
-                for piece, start in enumerate(range(0, len(tokens), length)):
-                    part = tokens[start : start + length].tobytes()
-                    rows.append((ids[i], keys[i], piece, start, len(part) // 4, zlib.crc32(part), *([part] if with_ids else [])))
+            for i, a, b in zip(range(at, end), begins[:-1].tolist(), begins[1:].tolist(), strict=True):
+                for piece, start in enumerate(range(a, b, length)):
+                    part = tokens[start : min(start + length, b)].tobytes()
+                    rows.append((ids[i], keys[i], piece, start - a, len(part) // 4, zlib.crc32(part), *([part] if with_ids else [])))
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
             at = end
 
@@ -113,12 +186,13 @@ def pack_documents(docs: DataFrame, length: int = LENGTH, open_bins: int = OPEN_
     token alone; a repeated row is a document of its own; an empty table gives an empty
     result. The same input gives the same result.
     """
+    small_batches(docs.sparkSession)
     vocabulary = vocabulary or public_tokenizers.path(VOCABULARY)
     text = F.coalesce("text", F.lit(""))
     docs = docs.select(F.col("doc_id").cast("long"), F.xxhash64("doc_id", text).alias("doc_key"), text.alias("text"))
     pieces = settle(docs.mapInArrow(lambda it: cut_into_pieces(it, vocabulary, length, with_ids), _PIECE + (", ids binary" if with_ids else "")))
     n = pieces.count()
-    # more than one group wherever there is a choice, and an even deal
+    # an even deal; a group, even a lone one, is a pass over its sizes alone
     groups = max(1, -(-n // group_rows))
     rows = pieces.select(F.pmod(F.xxhash64("doc_key", "piece"), F.lit(groups)).alias("group"), F.col("length").alias("size"), *pieces.columns)
     order = ["group", F.pmod(F.xxhash64("doc_key", F.lit(1)), F.lit(1 << 20)), "doc_id", "doc_key", "piece"]
