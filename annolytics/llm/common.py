@@ -12,6 +12,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 ARROW_ROWS = "400"
 
 
+#: Parts of a shuffle partition that a key's rows may fill before they are spread, and rows
+#: below which a key is never spread.
+SLICES, HOT_ROWS = 8, 1000
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir; where it is unset, as in tests, one of our own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -27,13 +32,40 @@ def settle(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.settled_at = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a settled table that no later table is made from."""
+    jvm = table.sparkSession._jvm
+    path = jvm.org.apache.hadoop.fs.Path(table.settled_at)
+    path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
 
 
+def join_skewed(rows: DataFrame, keys_table: DataFrame, keys: list[str], spread: list[str]) -> DataFrame:
+    """rows joined with keys_table, which has one row for each key and, in its column `rows`,
+    at least about how many rows the key has. Keys that would fill more than a small part of
+    a task are spread over tasks by the columns `spread`. They are few: as their rows add
+    up to no more than all, no more than SLICES * partitions of them can be so large."""
+    spark = rows.sparkSession
+    slices = SLICES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys_table = settle(keys_table)
+    total = keys_table.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    hot = keys_table.filter(F.col("rows") > max(HOT_ROWS, total // slices)).select(*keys, F.ceil(F.col("rows") * slices / max(1, total)).cast("int").alias("salts"))
+    known = F.broadcast(hot)  # at most `slices` rows
+    salt = F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*spread), "salts")).cast("int")
+    left = rows.join(known, keys, "left").withColumn("salt", salt).drop("salts")
+    salts = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("salts") - 1, F.lit(0))))
+    right = keys_table.join(known, keys, "left").withColumn("salt", salts).drop("salts")
+    return left.join(right, [*keys, "salt"]).drop("salt")
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Node and component (its smallest node) of every node that an edge touches.
 
@@ -43,18 +75,19 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """
     now = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
     now = settle(now)
-    while True:
-        if now.isEmpty():
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    sums = (F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64(F.lit(1), "v", "u")))
+    seen = now.agg(*sums).first()
+    while seen[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        after = settle(small)
+        after, before = settle(small), seen
+        discard(now)
+        now, seen = after, after.agg(*sums).first()
         # a star forest: no node is both a centre and a leaf, and each leaf has one centre
-        sums = (F.count("*"), F.sum(F.hash("u", "v")))
-        if after.agg(*sums).first() == now.agg(*sums).first():
-            return after.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        now = after
+        if seen == before:
+            break
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component"))

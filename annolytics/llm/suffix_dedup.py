@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import settle, small_batches
+from .common import join_skewed, settle, small_batches
 from .text_arrays import byte_runs, mix
 
 LENGTH = 400
@@ -49,7 +49,8 @@ HOT_GROUP = 100_000
 _PLACE_BITS = np.uint64(28)
 
 SEGMENT = "anchor long, content long, doc_id long, doc_key long, start int, windows int"
-PIECE = "anchor long, content long, place int, core long, left binary, right binary, first int, n int"
+PIECE = "anchor long, place int, core long, content long, left binary, right binary, doc_id long, doc_key long, start int, n int, single boolean"
+RANGE = "doc_id long, doc_key long, start int, n int"
 
 
 def gram_hashes(data: np.ndarray, width: int) -> np.ndarray:
@@ -100,12 +101,13 @@ def find_segments(batches: Iterator[pa.RecordBatch], length: int, anchor: int) -
 
 
 def cut_pieces(batches: Iterator[pa.RecordBatch], length: int, anchor: int, step: int) -> Iterator[pa.RecordBatch]:
-    """Columns text, wanted (structs of anchor, content, start, windows) -> PIECE rows.
-    first and n: the piece's windows, counted from the segment's first."""
+    """Columns text, doc_id, doc_key, wanted (structs of anchor, content, start, windows,
+    copies) -> PIECE rows. start and n: the piece's windows in the document; single: its
+    content stands there alone."""
     core_bytes = length - step + 1
     for batch in batches:
         rows: list[tuple] = []
-        for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for text, doc_id, doc_key, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             data = text.encode()
             for w in wanted:
                 own = data[w["start"] : w["start"] + w["windows"] + length - 1]
@@ -116,9 +118,10 @@ def cut_pieces(batches: Iterator[pa.RecordBatch], length: int, anchor: int, step
                 for p, q in zip(heads.tolist(), [*heads[1:].tolist(), w["windows"]], strict=True):
                     c = at - int(block[p]) * step  # the core's first byte
                     core = xxhash.xxh3_64_intdigest(own[c : c + core_bytes])
-                    rows.append((w["anchor"], w["content"], int(block[p]), core - 2**64 if core >= 2**63 else core, own[p:c], own[c + core_bytes : q - 1 + length], p, q - p))
+                    core = core - 2**64 if core >= 2**63 else core
+                    rows.append((w["anchor"], int(block[p]), core, w["content"], own[p:c], own[c + core_bytes : q - 1 + length], doc_id, doc_key, w["start"] + p, q - p, w["copies"] == 1))
         if rows:
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32()]
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[x.split()[0] for x in PIECE.split(", ")])
 
 
@@ -190,9 +193,14 @@ def _bounds(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
+def _ranges(rows: list[tuple]) -> list[pa.Array]:
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+    return [pa.array([x[i] for x in rows], k) for i, k in enumerate(kinds)]
+
+
 def insert_collections(batches: Iterator[pa.RecordBatch], step: int, most: int) -> Iterator[pa.RecordBatch]:
-    """PIECE rows sorted by group (anchor, place, core) -> ranges of repeated windows:
-    anchor, content, start, n."""
+    """PIECE rows sorted by group (anchor, place, core) -> RANGE rows of repeated windows,
+    those of contents that stand at one place."""
     held: list[tuple] = []
 
     def settle_held(rows: list[tuple]) -> pa.RecordBatch:
@@ -200,7 +208,7 @@ def insert_collections(batches: Iterator[pa.RecordBatch], step: int, most: int)
         distinct: dict[tuple, int] = {}
         groups: dict[tuple, int] = {}
         index, copies = [], []
-        for anchor, _, place, core, left, right, _, _ in rows:
+        for anchor, place, core, _, left, right, *_ in rows:
             group = groups.setdefault((anchor, place, core), 256 + len(groups))
             i = distinct.setdefault((group, left, right), len(distinct))
             if i == len(copies):
@@ -210,18 +218,20 @@ def insert_collections(batches: Iterator[pa.RecordBatch], step: int, most: int)
         symbols = [np.concatenate([np.frombuffer(left, np.uint8).astype(np.uint16) + 1, np.array([group + 1], np.uint16), np.frombuffer(right, np.uint8).astype(np.uint16) + 1]) for group, left, right in distinct]
         found = repeated_suffixes(symbols, step)
         out: list[tuple] = []
-        for (anchor, content, _, _, left, _, first, n), i in zip(rows, index, strict=True):
+        for (*_, doc_id, doc_key, start, n, single), i in zip(rows, index, strict=True):
+            if not single:
+                continue
             if copies[i] > 1:
-                out.append((anchor, content, first, n))
+                out.append((doc_id, doc_key, start, n))
             else:
                 for a, b in zip(*_bounds(found[i][:n]), strict=True):
-                    out.append((anchor, content, first + int(a), int(b - a)))
-        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["anchor", "content", "first", "n"])
+                    out.append((doc_id, doc_key, start + int(a), int(b - a)))
+        return pa.RecordBatch.from_arrays(_ranges(out), names=["doc_id", "doc_key", "start", "n"])
 
     last, groups = None, 0
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            group = (row[0], row[2], row[3])
+            group = row[:3]
             if group != last:
                 if len(held) >= most or groups >= 60_000:
                     yield settle_held(held)
@@ -233,22 +243,22 @@ def insert_collections(batches: Iterator[pa.RecordBatch], step: int, most: int)
 
 
 def single_windows(batches: Iterator[pa.RecordBatch], step: int) -> Iterator[pa.RecordBatch]:
-    """PIECE rows of hot groups -> one row for each window: its 128-bit key, anchor, content, place."""
+    """PIECE rows of hot groups -> one row for each window: its 128-bit key, single, RANGE."""
     for batch in batches:
-        rows = []
-        for anchor, content, place, core, left, right, first, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        rows, keys, alone = [], [], []
+        for anchor, place, core, _, left, right, doc_id, doc_key, start, n, single in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             head = f"{anchor},{place},{core},".encode()
             for t in range(n):
                 part = left[t:]
-                key = hashlib.blake2b(head + bytes([len(part)]) + part + right[: step - 1 - len(part)], digest_size=16).digest()
-                rows.append((key, anchor, content, first + t))
-        kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], k) for i, k in enumerate(kinds)], names=["key", "anchor", "content", "first"])
+                keys.append(hashlib.blake2b(head + bytes([len(part)]) + part + right[: step - 1 - len(part)], digest_size=16).digest())
+                alone.append(single)
+                rows.append((doc_id, doc_key, start + t, 1))
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(alone, pa.bool_()), *_ranges(rows)], names=["key", "single", "doc_id", "doc_key", "start", "n"])
 
 
-def keep_rest(batches: Iterator[pa.RecordBatch], length: int, with_text: bool) -> Iterator[pa.RecordBatch]:
+def keep_rest(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Columns doc_id, text, spans (start and n of repeated windows) -> the digest of each
-    document, or with its remaining text in place of the digest."""
+    document and its remaining text."""
     for batch in batches:
         out = []
         for doc_id, text, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -262,47 +272,48 @@ def keep_rest(batches: Iterator[pa.RecordBatch], length: int, with_text: bool) -
                     runs.append([a, b])
             cuts = [0, *(x for r in runs for x in r), len(data)]
             rest = b"".join(data[a:b] for a, b in zip(cuts[::2], cuts[1::2], strict=True)) if runs else data
-            last = (None if text is None else rest.decode("utf-8", "ignore")) if with_text else hashlib.sha256(rest).hexdigest()
-            out.append((doc_id, len(data), len(data) - len(rest), len(runs), last))
-        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_text" if with_text else "kept_sha256"]
-        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], k) for i, k in enumerate((*(pa.int64(),) * 4, pa.string()))], names=names)
+            out.append((doc_id, len(data), len(data) - len(rest), len(runs), hashlib.sha256(rest).hexdigest(), None if text is None else rest.decode("utf-8", "ignore")))
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"]
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], k) for i, k in enumerate((*(pa.int64(),) * 4, pa.string(), pa.string()))], names=names)
 
 
 def repeated_windows(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, step: int = STEP, hot: int = HOT_GROUP) -> DataFrame:
     """doc_id, doc_key, start, n: runs of repeated windows of documents (doc_id, doc_key, text)."""
     small_batches(docs.sparkSession)
-    segments = docs.mapInArrow(lambda it: find_segments(it, length, anchor), SEGMENT)
-    shared = segments.groupBy("anchor").agg(F.count("*").alias("rows"), (F.min("content") == F.max("content")).alias("equal")).filter("rows > 1")
-    hits = settle(segments.join(shared, "anchor").select(*segments.columns, "equal"))
-    whole = hits.filter("equal").select("doc_id", "doc_key", "start", F.col("windows").alias("n"))
-
-    mixed = hits.filter("not equal")
-    contents = mixed.groupBy("anchor", "content").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "doc_key", "start", "windows")).alias("one"))
-    wanted = contents.groupBy("one.doc_id", "one.doc_key").agg(F.collect_list(F.struct("anchor", "content", "one.start", "one.windows")).alias("wanted"))
-    texts = docs.join(wanted, docs.doc_id.eqNullSafe(wanted.doc_id) & (docs.doc_key == wanted.doc_key)).select("text", "wanted")
+    segments = settle(docs.mapInArrow(lambda it: find_segments(it, length, anchor), SEGMENT))
+    one = F.min(F.struct("doc_id", "doc_key", "start", "windows")).alias("one")
+    contents = settle(segments.groupBy("anchor", "content").agg(F.count("*").alias("copies"), one))
+    # a content that stands at two places is repeated as a whole, at each of them
+    twice = contents.filter("copies > 1").select("anchor", "content", F.col("copies").alias("rows"))
+    whole = join_skewed(segments, twice, ["anchor", "content"], ["doc_id", "start"]).select("doc_id", "doc_key", "start", F.col("windows").alias("n"))
+
+    # contents that are not alone with their minimiser may share windows
+    shared = contents.groupBy("anchor").agg(F.count("*").alias("rows")).filter("rows > 1")
+    mixed = join_skewed(contents, shared, ["anchor"], ["content"])
+    place = F.struct("anchor", "content", "one.start", "one.windows", "copies")
+    wanted = mixed.groupBy("one.doc_id", "one.doc_key").agg(F.collect_list(place).alias("wanted"))
+    wanted = wanted.withColumnsRenamed({"doc_id": "of_id", "doc_key": "of_key"})
+    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("doc_key") == F.col("of_key"))).select("text", "doc_id", "doc_key", "wanted")
     pieces = settle(texts.mapInArrow(lambda it: cut_pieces(it, length, anchor, step), PIECE))
 
-    group = ["anchor", "place", "core"]
-    sizes = pieces.groupBy(group).agg(F.count("*").alias("size")).filter("size > 1")
-    pieces = pieces.join(sizes, group)
-    small = pieces.filter(F.col("size") <= hot).select(*(x.split()[0] for x in PIECE.split(", "))).repartition(*group).sortWithinPartitions(*group)
-    found = small.mapInArrow(lambda it: insert_collections(it, step, COLLECTION), "anchor long, content long, first int, n int")
-    big = pieces.filter(F.col("size") > hot).select(*(x.split()[0] for x in PIECE.split(", ")))
-    single = big.mapInArrow(lambda it: single_windows(it, step), "key binary, anchor long, content long, first int")
-    twice = single.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    found = found.unionByName(single.join(twice, "key").select("anchor", "content", "first", F.lit(1).alias("n")))
-    # a content that stands at two places is repeated as a whole
-    found = found.unionByName(contents.filter("copies > 1").select("anchor", "content", F.lit(0).alias("first"), F.col("one.windows").alias("n")))
-    part = mixed.join(found, ["anchor", "content"]).select("doc_id", "doc_key", (F.col("start") + F.col("first")).alias("start"), "n")
-    return whole.unionByName(part)
-
-
-def suffix_dedup(docs: DataFrame, length: int = LENGTH, with_text: bool = False, **how: int) -> DataFrame:
+    group, columns = ["anchor", "place", "core"], [x.split()[0] for x in PIECE.split(", ")]
+    sizes = pieces.groupBy(group).agg(F.count("*").alias("rows")).filter("rows > 1")
+    pieces = join_skewed(pieces, sizes, group, ["content"])
+    small = pieces.filter(F.col("rows") <= hot).select(columns).repartition(*group).sortWithinPartitions(*group)
+    found = small.mapInArrow(lambda it: insert_collections(it, step, COLLECTION), RANGE)
+    big = pieces.filter(F.col("rows") > hot).select(columns)
+    single = big.mapInArrow(lambda it: single_windows(it, step), f"key binary, single boolean, {RANGE}")
+    twice = single.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1")
+    found = found.unionByName(join_skewed(single, twice, ["key"], ["doc_id", "start"]).filter("single").select("doc_id", "doc_key", "start", "n"))
+    return whole.unionByName(found)
+
+
+def suffix_dedup(docs: DataFrame, length: int = LENGTH, **how: int) -> DataFrame:
     """Remove from every text each byte that a repeated string of `length` bytes covers.
 
     docs: doc_id long, text string; other columns are left out. One row per input row:
-    doc_id, n_bytes, n_removed, n_spans, and kept_sha256 or, with_text, kept_text (bytes
-    that no longer form a character are left out of it; null stays null). A null text is
+    doc_id, n_bytes, n_removed, n_spans, kept_sha256 and text, what is left (bytes that no
+    longer form a character are left out of it; null stays null). A null text is
     empty; texts shorter than `length` stay whole; a repeated row counts as a copy, so
     both lose what they share; an empty table gives an empty result.
     """
@@ -311,8 +322,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, with_text: bool = False,
     spans = windows.groupBy("doc_id", "doc_key").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     spans = spans.withColumnsRenamed({"doc_id": "of_id", "doc_key": "of_key"})
     joined = docs.join(spans, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("doc_key") == F.col("of_key")), "left")
-    last = "kept_text string" if with_text else "kept_sha256 string"
-    return joined.select("doc_id", "text", "spans").mapInArrow(lambda it: keep_rest(it, length, with_text), f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}")
+    return joined.select("doc_id", "text", "spans").mapInArrow(lambda it: keep_rest(it, length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, **how: int) -> DataFrame:
@@ -330,8 +340,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, **how: int) -> DataFr
         for batch in batches:
             ids = pa.nulls(len(batch), pa.int64())
             part = pa.RecordBatch.from_arrays([ids, *batch.columns[:2]], names=["doc_id", "text", "spans"])
-            for rest in keep_rest(iter([part]), length, True):
-                yield pa.RecordBatch.from_arrays([*batch.columns[2:], rest.column(4)], names=[*batch.schema.names[2:], "kept_text"])
+            for rest in keep_rest(iter([part]), length):
+                yield pa.RecordBatch.from_arrays([*batch.columns[2:], rest.column(5)], names=[*batch.schema.names[2:], "kept_text"])
 
     out = joined.select("text", "spans", *named).mapInArrow(cut, f"{kinds}, kept_text string")
     out = out.select(*(F.col("kept_text" if c == "text" else f"given_{i}").alias(c) for i, c in enumerate(given)))
