@@ -12,38 +12,45 @@ empty cells to be sure of one gives each of its elements as a signature as well.
 
 Copies (equal sets) are one class with one fingerprint. Signatures travel as packed
 arrays, one row for each batch of texts and bucket of signatures. A bucket gives all
-pairs of a group of up to PAIRED classes. A larger group is a cluster of near copies
-as a rule: in rounds, its members meet the few that share most signatures with others
-(the copies with fewest edits) and are joined to components; when that brings no more,
-pairs between members of different components alone are verified. Before that, sizes
-and odd sketches bound the difference of two sets from below and drop what cannot be
-similar. No pair that could be is left out but those that a chain of links joins already.
+pairs of a group of up to PAIRED classes. A larger group gives its members and pairs of
+each with the group's hubs, the members of least and of greatest priority. Sizes and odd
+sketches bound the difference of two sets from below, and what may still be similar is
+verified. Links make components. What large groups hold beyond that is settled by exact
+bounds, so that no pair that could join two components is left out:
+
+1. Shingles of a member that no other component of members has cannot be shared with
+   one: members with too many of them have no more links. This is done again with the
+   members that are left until few go.
+2. The others meet by prefixes: of two similar sets each has a shingle of the other
+   among its few rarest ones, so many as their sizes allow. Pairs of different
+   components that share one are verified.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from .common import connected_components, settle, small_batches
+from .common import connected_components, discard, settle, small_batches
 from .text_arrays import byte_runs, mix, shingle_sets
 
 WIDTH, PERCENT = 5, 80
 #: Classes in a group of one signature of which all pairs are given.
 PAIRED = 24
-#: Members of a large group that the others meet in one round.
-CENTRES = 3
-#: Rounds end when the pairs that are left are so many times the members, or fell too little.
-LEFT_TIMES, FALL = 4, 0.75
-#: Homes that one row sends a set to.
+#: Signatures in a bucket, about: one bucket at a time is in a task's memory.
+BUCKET_ROWS = 2_000_000
+#: Pairs with one first set that one task's group verifies.
 HOMES = 2000
+#: Members are bounded again while at least this share of them goes.
+FEW_GO = 0.1
 #: Columns of an odd sketch, of 64 bits each.
 ODD = [f"odd{i}" for i in range(8)]
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
+#: Sizes are shipped as whole powers of this number.
+_LEVEL = np.log(1.1)
 
 
 class Bands:
@@ -136,98 +143,123 @@ def describe(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(fp, pa.int64()), *sketches], names=["doc_id", "doc_key", "n", "fp", *ODD])
 
 
+def size_level(sizes: np.ndarray) -> np.ndarray:
+    return np.minimum(np.log(np.maximum(sizes, 1)) / _LEVEL, 255).astype(np.uint8)
+
+
+def packed_rows(values: np.ndarray, of: np.ndarray, buckets: int, named: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """One row for each bucket: its values (low 32 bits), the position of each one's set, and
+    of these sets what is in `named`."""
+    bucket = ((values >> np.uint64(40)) % np.uint64(buckets)).astype(np.int32)
+    order = np.lexsort((of, bucket))
+    values, of, bucket = values[order], of[order], bucket[order]
+    cuts = [*np.flatnonzero(np.r_[True, np.diff(bucket) > 0]).tolist(), len(bucket)]
+    rows = []
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        inside, place = np.unique(of[a:b], return_inverse=True)
+        place = place.astype(np.uint32 if len(inside) > 65535 else np.uint16)
+        rows.append((int(bucket[a]), values[a:b].astype(np.uint32).tobytes(), place.tobytes(), *(x[inside].tobytes() for x in named)))
+    names = ["bucket", "sigs", "places", *(f"named{i}" for i in range(len(named)))]
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int32() if i == 0 else pa.binary()) for i, x in enumerate(zip(*rows, strict=True))], names=names)
+
+
+_PACKED = "bucket int, sigs binary, places binary, named0 binary, named1 binary"
+
+
+def whole_buckets(batches: Iterator[pa.RecordBatch], kinds: tuple[str, str]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows sorted by bucket -> bucket, values, and for each value what is named of its set."""
+    now, held = None, []
+    for batch in batches:
+        for bucket, sigs, places, *named in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if bucket != now:
+                if held:
+                    yield now, *(np.concatenate(x) for x in zip(*held, strict=True))
+                now, held = bucket, []
+            sig = np.frombuffer(sigs, np.uint32)
+            place = np.frombuffer(places, np.uint16 if len(places) == 2 * len(sig) else np.uint32)
+            held.append((sig, *(np.frombuffer(x, k)[place] for x, k in zip(named, kinds, strict=True))))
+    if held:
+        yield now, *(np.concatenate(x) for x in zip(*held, strict=True))
+
+
 def pack_signatures(batches: Iterator[pa.RecordBatch], width: int, percent: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """text -> bucket, signatures (low 32 bits), position of each one's set in fps and sizes."""
+    """text -> packed signatures with fingerprint and size level of their sets."""
     bands = Bands(percent)
     for batch in batches:
         for _, _, data, offsets in byte_runs(batch.column(0)):
             named = {fingerprint(s): s for s in shingle_sets(data, offsets, width) if len(s)}
-            if not named:
-                continue
-            sets = list(named.values())
-            fps, sizes = np.array(list(named), np.int64), np.array([len(s) for s in sets], np.int32)
-            sig, of = signatures(sets, bands)
-            bucket = ((sig >> np.uint64(40)) % np.uint64(buckets)).astype(np.int32)
-            order = np.lexsort((of, bucket))
-            sig, of, bucket = sig[order], of[order], bucket[order]
-            edges = [*np.flatnonzero(np.r_[True, np.diff(bucket) > 0]).tolist(), len(bucket)]
-            rows = []
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
-                inside, place = np.unique(of[a:b], return_inverse=True)
-                rows.append((int(bucket[a]), sig[a:b].astype(np.uint32).tobytes(), place.astype(np.uint32 if len(inside) > 65535 else np.uint16).tobytes(), fps[inside].tobytes(), sizes[inside].tobytes()))
-            kinds = (pa.int32(), *(pa.binary(),) * 4)
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["bucket", "sigs", "places", "fps", "sizes"])
-
-
-def pairs_of_bucket(sig: np.ndarray, fp: np.ndarray, size: np.ndarray, percent: int, paired: int) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs (smaller fp first, no repeats), and (signature, fp) of the groups above `paired`."""
-    order = np.lexsort((fp, sig))
-    sig, fp, size = sig[order], fp[order], size[order]
+            if named:
+                sets = list(named.values())
+                sig, of = signatures(sets, bands)
+                yield from packed_rows(sig, of, buckets, [np.array(list(named), np.int64), size_level(np.array([len(s) for s in sets]))])
+
+
+def pairs_of_bucket(sig: np.ndarray, fp: np.ndarray, level: np.ndarray, percent: int, paired: int) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate pairs (smaller fp first) of the groups up to `paired`, and pairs of the members
+    of larger ones with their hubs (hub first); no repeats."""
+    order = np.lexsort((mix(fp.view(np.uint64)), sig))
+    sig, fp, level = sig[order], fp[order], level[order].astype(np.int64)
     first = np.r_[True, (sig[1:] != sig[:-1]) | (fp[1:] != fp[:-1])]
-    sig, fp, size = sig[first], fp[first], size[first]
+    sig, fp, level = sig[first], fp[first], level[first]
     heads = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
     counts = np.diff(np.append(heads, len(sig)))
-    left, right = [], []
+    apart = int(np.log(100 / percent) / _LEVEL) + 1
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for g in np.unique(counts):
-        if not 2 <= g <= paired:
-            continue
-        at = heads[counts == g]
-        a, b = np.triu_indices(g, 1)
-        left.append((at[:, None] + a).ravel())
-        right.append((at[:, None] + b).ravel())
-    if left:
-        i, j = np.concatenate(left), np.concatenate(right)
-        ok = np.minimum(size[i], size[j]).astype(np.int64) * 100 >= np.maximum(size[i], size[j]).astype(np.int64) * percent
-        pairs = np.stack([fp[i[ok]], fp[j[ok]]], 1)
-        pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
-        pairs = pairs[np.r_[True, (pairs[1:] != pairs[:-1]).any(1)]] if len(pairs) else pairs
-    else:
-        pairs = np.zeros((0, 2), np.int64)
-    large = np.repeat(counts > paired, counts)
-    return pairs, np.stack([sig[large].astype(np.int64), fp[large]], 1)
+        if 2 <= g <= paired:
+            a, b = np.triu_indices(g, 1)
+            left.append((heads[counts == g][:, None] + a).ravel())
+            right.append((heads[counts == g][:, None] + b).ravel())
+    i, j = np.concatenate(left), np.concatenate(right)
+    ok = np.abs(level[i] - level[j]) <= apart
+    pairs = np.sort(np.stack([fp[i[ok]], fp[j[ok]]], 1), axis=1)
+    big = counts > paired
+    members = np.flatnonzero(np.repeat(big, counts))
+    hubs = np.concatenate([np.repeat(heads[big], counts[big]), np.repeat(heads[big] + counts[big] - 1, counts[big])])
+    # a member stays, with itself, where no hub is of its size
+    hubs = np.where(np.abs(level[hubs] - np.tile(level[members], 2)) <= apart, hubs, np.tile(members, 2))
+    met = np.stack([fp[hubs], np.tile(fp[members], 2)], 1)
+    return tuple(np.unique(x, axis=0) if len(x) else x.reshape(0, 2) for x in (pairs, met))
 
 
 def meet_in_buckets(batches: Iterator[pa.RecordBatch], percent: int, paired: int) -> Iterator[pa.RecordBatch]:
-    """Packed signatures of whole buckets -> kind 0: pair a, b; kind 1: member b of large group a."""
-    held: dict[int, list[tuple]] = defaultdict(list)
-    for batch in batches:
-        for bucket, sigs, places, fps, sizes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            sig = np.frombuffer(sigs, np.uint32)
-            place = np.frombuffer(places, np.uint16 if len(places) == 2 * len(sig) else np.uint32)
-            held[bucket].append((sig, np.frombuffer(fps, np.int64)[place], np.frombuffer(sizes, np.int32)[place]))
-    while held:
-        bucket, parts = held.popitem()
-        pairs, large = pairs_of_bucket(*(np.concatenate(x) for x in zip(*parts, strict=True)), percent, paired)
-        for kind, rows in ((0, pairs), (1, large)):
-            if kind:
-                rows[:, 0] += np.int64(bucket) << 32
+    """Packed signatures sorted by bucket -> kind 0: pair a, b; kind 1: member b of a large
+    group and its hub a."""
+    for _, sig, fp, level in whole_buckets(batches, ("<i8", "u1")):
+        for kind, rows in enumerate(pairs_of_bucket(sig, fp, level, percent, paired)):
             for i in range(0, len(rows), 50_000):
                 part = rows[i : i + 50_000]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), kind, np.int32)), pa.array(part[:, 0]), pa.array(part[:, 1])], names=["kind", "a", "b"])
 
 
-def send_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """text, fp, homes -> home, fp, elements."""
+def shingle_rows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """text, fp -> fp, elements."""
     for batch in batches:
-        fps, homes, at = batch.column(1).to_pylist(), batch.column(2).to_pylist(), 0
+        fps = batch.column(1)
         for first, last, data, offsets in byte_runs(batch.column(0)):
-            rows = [(h, fps[i], s) for i, s in zip(range(first, last), (x.tobytes() for x in shingle_sets(data, offsets, width)), strict=True) for h in homes[i]]
-            for at in range(0, len(rows), 1000):
-                kinds = (pa.int64(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows[at : at + 1000], strict=True), kinds, strict=True)], names=["home", "fp", "elements"])
+            sets = shingle_sets(data, offsets, width)
+            ends = np.cumsum([0, *(len(s) for s in sets)])
+            flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([fps.slice(first, last - first), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["fp", "elements"])
+
+
+def _slices(column: pa.Array) -> list[np.ndarray]:
+    flat, ends = column.flatten().to_numpy(), np.cumsum([0, *pa.compute.list_value_length(column).to_pylist()])
+    return [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
 def verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """home, fp, elements, a home's own set first -> a, b of the similar pairs."""
-    home, own = None, np.zeros(0, np.uint64)
+    """home, salt, fp, elements, a home's own set first -> a, b of the similar pairs."""
+    home, own = None, np.zeros(0, np.int64)
     for batch in batches:
         found = []
-        for h, fp, elements in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            other = np.frombuffer(elements, np.uint64)
+        keys = (c.to_pylist() for c in batch.columns[:3])
+        for h, salt, fp, other in zip(*keys, _slices(batch.column(3)), strict=True):
             if h == fp:
-                home, own = h, other
+                home, own = (h, salt), other
             else:
-                assert home == h, "a pair without its first set"
+                assert home == (h, salt), "a pair without its first set"
                 both = np.sort(np.concatenate([own, other]))
                 shared = int(np.count_nonzero(both[1:] == both[:-1]))
                 if 100 * shared >= percent * (len(own) + len(other) - shared):
@@ -235,51 +267,87 @@ def verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
 
-def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """The similar ones of pairs (a, b) of fingerprints; the sets meet at a's home."""
-    sends = pairs.select(F.col("a").alias("fp"), F.col("a").alias("home")).unionByName(pairs.select(F.col("b").alias("fp"), F.col("a").alias("home")))
-    many = sends.groupBy("fp").agg(F.ceil(F.count("*") / HOMES).alias("rows"))
-    salt = F.pmod(F.xxhash64("home"), "rows").alias("salt")
-    sends = sends.join(many, "fp").groupBy("fp", salt).agg(F.collect_set("home").alias("homes")).join(classes, "fp")
-    sends = sends.select("fp", "homes", F.col("one.doc_id").alias("of_id"), F.col("one.doc_key").alias("of_key"))
-    texts = docs.join(sends, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("doc_key") == F.col("of_key"))).select("text", "fp", "homes")
-    sets = texts.mapInArrow(lambda it: send_sets(it, width), "home long, fp long, elements binary")
-    sets = sets.repartition("home").sortWithinPartitions("home", F.col("fp") != F.col("home"), "fp")
-    return sets.mapInArrow(lambda it: verify(it, percent), "a long, b long")
-
-
-def join_large_groups(large: DataFrame, edges: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links that, with edges, join all similar members (fp, n, sketch) of each large group to
-    components. Every pair of a group is verified, or joined by other links."""
-    members = large.withColumn("shared", F.count("*").over(Window.partitionBy("fp")))
-    order = Window.partitionBy("group").orderBy(F.desc("shared"), "fp")
-    members = settle(members.withColumn("place", F.row_number().over(order)))
-    apart_by = sum((F.bit_count(F.col(o).bitwiseXOR(F.col(f"other_{o}"))) for o in ODD), F.lit(0))
-    similar = (F.least("n", "other_n") * 100 >= F.greatest("n", "other_n") * percent) & (apart_by * (100 + percent) <= (F.col("n") + F.col("other_n")) * (100 - percent))
-    used, left_before = 0, None
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The similar ones of distinct pairs (a, b) of fingerprints; the sets meet at a's home,
+    which has a place for each HOMES pairs."""
+    places = pairs.groupBy("a").agg(F.ceil(F.count("*") / HOMES).alias("places"))
+    pairs = pairs.join(places, "a").select("a", F.pmod(F.xxhash64("b"), "places").cast("int").alias("salt"), "b")
+    sends = pairs.select(F.col("a").alias("home"), "salt", F.col("b").alias("fp")).unionByName(pairs.select(F.col("a").alias("home"), "salt", F.col("a").alias("fp")).distinct())
+    met = sends.join(sets, "fp").select("home", "salt", "fp", "elements")
+    met = met.repartition("home", "salt").sortWithinPartitions("home", "salt", F.col("fp") != F.col("home"), "fp")
+    return met.mapInArrow(lambda it: verify(it, percent), "a long, b long")
+
+
+def may_be_similar(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that size and odd sketch do not rule out."""
+    for side in ("a", "b"):
+        pairs = pairs.join(classes.select(F.col("fp").alias(side), F.col("n").alias(f"{side}_n"), *(F.col(o).alias(f"{side}_{o}") for o in ODD)), side)
+    differ = sum((F.bit_count(F.col(f"a_{o}").bitwiseXOR(F.col(f"b_{o}"))) for o in ODD), F.lit(0))
+    close = (F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent) & (differ * (100 + percent) <= (F.col("a_n") + F.col("b_n")) * (100 - percent))
+    return pairs.filter(close).select("a", "b")
+
+
+def count_own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed elements sorted by bucket, with fingerprint and component of their sets -> fp and
+    the number of its elements in the bucket that are in no other component."""
+    for _, x, fp, part in whole_buckets(batches, ("<i8", "<i8")):
+        order = np.lexsort((fp, x))
+        order = order[np.r_[True, (np.diff(x[order]) != 0) | (np.diff(fp[order]) != 0)]]
+        heads = np.flatnonzero(np.r_[True, np.diff(x[order]) != 0])
+        alone = np.minimum.reduceat(part[order], heads) == np.maximum.reduceat(part[order], heads)
+        alone = np.repeat(alone, np.diff(np.append(heads, len(order))))
+        fps, count = np.unique(fp[order][alone], return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(fps), pa.array(count.astype(np.int64))], names=["fp", "own"])
+
+
+def pack_elements(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """fp, component, elements -> packed elements."""
+    for batch in batches:
+        sets = _slices(batch.column(2))
+        of = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        values = np.concatenate(sets).view(np.uint64) if sets else np.zeros(0, np.uint64)
+        if len(values):
+            yield from packed_rows(values, of, buckets, [batch.column(0).to_numpy(), batch.column(1).to_numpy()])
+
+
+def n_buckets(spark, rows: int) -> int:
+    return max(spark.sparkContext.defaultParallelism, -(-rows // BUCKET_ROWS))
+
+
+def by_bucket(packed: DataFrame, buckets: int, work: Callable, schema: str) -> DataFrame:
+    return packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(work, schema)
+
+
+def still_open(members: DataFrame, sets: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """Of members (fp, n) those that could link with a member of another component, with
+    their component."""
+    before = None
     while True:
-        parts = connected_components(edges).withColumnRenamed("node", "fp")
-        # a component's own node is a leaf of none
-        now = members.join(parts, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-        apart = now.groupBy("group", "component").agg(F.count("*").alias("size"))
-        apart = apart.groupBy("group").agg(F.sum("size").alias("size"), F.sum(F.col("size") * F.col("size")).alias("joined"), F.count("*").alias("of")).filter("of > 1")
-        now = settle(now.join(apart.select("group"), "group", "left_semi"))
-        left, size = apart.agg(F.sum((F.col("size") * F.col("size") - F.col("joined")) / 2), F.sum("size")).first()
-        if not left:
-            return edges
-        last = left <= LEFT_TIMES * size or (left_before is not None and left > FALL * left_before)
-        others = now.select("group", F.col("fp").alias("other"), F.col("n").alias("other_n"), *(F.col(o).alias(f"other_{o}") for o in ODD), F.col("component").alias("other_component"), F.col("place").alias("other_place"))
-        if last:
-            met = now.join(others, "group").filter((F.col("component") != F.col("other_component")) & (F.col("fp") < F.col("other")) & similar)
-        else:
-            centres = others.filter((F.col("other_place") > used) & (F.col("other_place") <= used + CENTRES))
-            met = now.join(centres, "group").filter((F.col("component") != F.col("other_component")) & similar)
-        more = verified(met.select(F.col("fp").alias("a"), F.col("other").alias("b")).distinct(), docs, classes, width, percent)
-        # what is joined already goes on as stars, of which the next round has less to do
-        edges = settle(parts.select(F.col("fp").alias("a"), F.col("component").alias("b")).unionByName(more))
-        if last:
-            return edges
-        used, left_before = used + CENTRES, left
+        now = settle(members.join(parts, "fp", "left").withColumn("component", F.coalesce("component", "fp")))
+        size, elements = now.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+        if not size or (before is not None and size > (1 - FEW_GO) * before):
+            return now
+        buckets = n_buckets(now.sparkSession, elements)
+        packed = now.join(sets, "fp").select("fp", "component", "elements").mapInArrow(lambda it, k=buckets: pack_elements(it, k), _PACKED)
+        own = by_bucket(packed, buckets, count_own, "fp long, own long").groupBy("fp").agg(F.sum("own").alias("own"))
+        kept = now.join(own, "fp", "left").filter((F.col("n") - F.coalesce("own", F.lit(0))) * 100 >= F.col("n") * percent)
+        members, before = settle(kept.select("fp", "n")), size
+
+
+def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members (fp, n, component) of different components that share one of their
+    rarest shingles, so many as two similar sets of their sizes have to look at."""
+    rows = members.join(sets, "fp").select("fp", "n", "component", F.explode("elements").alias("x"))
+    rows = rows.join(rows.groupBy("x").agg(F.count("*").alias("often")).filter("often > 1"), "x", "left")
+    ordered = F.transform(F.array_sort(F.collect_set(F.struct(F.coalesce("often", F.lit(1)).alias("often"), "x"))), lambda s: s["x"])
+    look = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    first = rows.groupBy("fp", "n", "component").agg(ordered.alias("elements")).select("fp", "n", "component", F.posexplode(F.slice("elements", F.lit(1), look.cast("int"))).alias("at", "x"))
+    first = settle(first)
+    other = first.select("x", F.col("fp").alias("b"), F.col("n").alias("b_n"), F.col("component").alias("b_component"), F.col("at").alias("b_at"))
+    needed = F.ceil((F.col("n") + F.col("b_n")) * percent / (100 + percent))
+    meet = (F.col("component") != F.col("b_component")) & (F.col("fp") < F.col("b")) & (F.least("n", "b_n") * 100 >= F.greatest("n", "b_n") * percent)
+    meet = meet & (F.col("at") <= F.col("n") - needed) & (F.col("b_at") <= F.col("b_n") - needed)
+    return first.join(other, "x").filter(meet).select(F.col("fp").alias("a"), "b").distinct()
 
 
 def ngram_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, paired: int = PAIRED) -> DataFrame:
@@ -287,7 +355,8 @@ def ngram_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
 
     docs: doc_id long, text string; other columns are left out. One row per input row:
     doc_id, doc_key (hash of the text), n_shingles, component_id (the smallest doc_id
-    reachable by links, itself included). A text of fewer than `width` words has its whole sequence as one shingle;
+    reachable by links, itself included), component_key (a number for each component, null
+    without words). A text of fewer than `width` words has its whole sequence as one shingle;
     one without words, or null, links with nothing. Repeated rows are copies. A null
     doc_id takes part and is never the smallest, so its component is null only if all ids in it are.
     """
@@ -298,23 +367,42 @@ def ngram_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
     one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "doc_key"))
     classes = settle(base.filter("n > 0").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), *(F.min(o).alias(o) for o in ODD), one.alias("one")))
 
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed = docs.select("text").mapInArrow(lambda it: pack_signatures(it, width, percent, buckets), "bucket int, sigs binary, places binary, fps binary, sizes binary")
-    met = settle(packed.repartition("bucket").mapInArrow(lambda it: meet_in_buckets(it, percent, paired), "kind int, a long, b long"))
-    pairs = met.filter("kind = 0").select("a", "b").distinct()
-    edges = settle(verified(pairs, docs, classes, width, percent))
-    large = met.filter("kind = 1").select(F.col("a").alias("group"), F.col("b").alias("fp"))
-    if not large.isEmpty():
-        large = large.join(classes.select("fp", "n", *ODD), "fp")
-        edges = join_large_groups(large, edges, docs, classes, width, percent)
+    buckets = n_buckets(spark, base.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    packed = docs.select("text").mapInArrow(lambda it: pack_signatures(it, width, percent, buckets), _PACKED)
+    met = settle(by_bucket(packed, buckets, lambda it: meet_in_buckets(it, percent, paired), "kind int, a long, b long"))
+    pairs = settle(may_be_similar(met.filter("kind = 0").select("a", "b").distinct(), classes, percent))
+    hubs = settle(met.filter("kind = 1").select("a", "b").distinct())
+    discard(met)
+
+    members = hubs.select(F.col("b").alias("fp")).distinct()
+    needed = members.unionByName(pairs.select(F.col("a").alias("fp"))).unionByName(pairs.select(F.col("b").alias("fp"))).distinct().join(classes, "fp")
+    needed = needed.select("fp", F.col("one.doc_id").alias("of_id"), F.col("one.doc_key").alias("of_key"))
+    # rows that are equal in id and text give a set again, which does no harm below
+    texts = docs.join(needed, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("doc_key") == F.col("of_key"))).select("text", "fp")
+    sets = settle(texts.mapInArrow(lambda it: shingle_rows(it, width), "fp long, elements array<long>"))
+
+    edges = settle(verified(pairs, sets, percent))
+    members = members.join(classes.select("fp", "n"), "fp")
+    if not hubs.isEmpty():
+        parts = connected_components(edges).withColumnRenamed("node", "fp")
+        members = still_open(members, sets, parts, percent)
+        side = members.select("fp", "component")
+        close = hubs.join(side.select(F.col("fp").alias("a"), F.col("component").alias("a_part")), "a").join(side.select(F.col("fp").alias("b"), F.col("component").alias("b_part")), "b").filter("a_part <> b_part")
+        close = close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        edges = settle(edges.unionByName(verified(may_be_similar(close, classes, percent), sets, percent)))
+        parts = connected_components(edges).withColumnRenamed("node", "fp")
+        members = still_open(members.select("fp", "n"), sets, parts, percent)
+        more = may_be_similar(prefix_pairs(members, sets, percent), classes, percent)
+        edges = settle(edges.unionByName(verified(more, sets, percent)))
     parts = connected_components(edges)
+    discard(sets)
 
     parts = parts.join(classes.select(F.col("fp").alias("node"), "rep"), "node")
     # a component's own node is a leaf of none
     heads = parts.groupBy("component").agg(F.min("rep").alias("low")).join(classes.select(F.col("fp").alias("component"), "rep"), "component").select("component", F.least("low", "rep").alias("low"))
-    named = parts.join(heads, "component").select(F.col("node").alias("fp"), "low").unionByName(heads.select(F.col("component").alias("fp"), "low"))
-    named = classes.join(named, "fp", "left").select("fp", F.coalesce("low", "rep").alias("low"))
-    return base.join(named, "fp", "left").select("doc_id", "doc_key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("doc_id")).alias("component_id"))
+    named = parts.join(heads, "component").select(F.col("node").alias("fp"), "low", "component").unionByName(heads.select(F.col("component").alias("fp"), "low", "component"))
+    named = classes.join(named, "fp", "left").select("fp", F.coalesce("low", "rep").alias("low"), F.coalesce("component", "fp").alias("component_key"))
+    return base.join(named, "fp", "left").select("doc_id", "doc_key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("doc_id")).alias("component_id"), "component_key")
 
 
 def one_of_each(docs: DataFrame, **how: int) -> DataFrame:
@@ -322,9 +410,7 @@ def one_of_each(docs: DataFrame, **how: int) -> DataFrame:
     doc_id (null is the greatest) stays, once. Texts without words all stay."""
     found = ngram_components(docs, **how).filter("n_shingles > 0")
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("of_id"), F.col("doc_key").alias("of_key"))
-    # components of null ids alone are told apart by their texts
-    keys = ["component_id", F.when(F.col("component_id").isNull(), F.col("doc_key"))]
-    best = found.groupBy(*keys).agg(F.min(place).alias("best")).select("best.of_id", "best.of_key")
+    best = found.groupBy("component_key").agg(F.min(place).alias("best")).select("best.of_id", "best.of_key")
     text = F.coalesce("text", F.lit(""))
     keyed = docs.withColumns({"of_id": F.col("doc_id").cast("long"), "of_key": F.xxhash64("text"), "worded": F.regexp_like(text, F.lit(r"[^\x20\x09-\x0D]"))})
     same = keyed.of_id.eqNullSafe(best.of_id) & (keyed.of_key == best.of_key)

@@ -60,14 +60,40 @@ def test_ngram_components(request, name):
     assert rows_of(ngram_components(docs, paired=2), "doc_id", "n_shingles", "component_id") == want
 
 
+def near_copies(n: int) -> list[tuple]:
+    """A cloud of copies of one text, some beyond the threshold of all others, and texts that
+    share one passage alone."""
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    base, passage = [rnd.choice(words) for _ in range(120)], [rnd.choice(words) for _ in range(60)]
+    rows = []
+    for i in range(n):
+        copy = list(base)
+        for _ in range(rnd.choice([1, 1, 2, 3, 4, 5])):
+            copy[rnd.randrange(24) * 5] = "edit"
+        rows.append((3 * i, " ".join(copy[: 120 - rnd.randrange(3)])))
+        rows.append((3 * i + 1, " ".join([rnd.choice(words) for _ in range(rnd.randrange(10, 60))] + passage)))
+    return rows
+
+
+def test_ngram_components_of_large_groups(spark):
+    rows = near_copies(150)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = plain.ngram_rows(rows)
+    assert 2 < len({r[2] for r in want if r[2] % 3 == 0}) < 150
+    assert rows_of(ngram_components(docs), "doc_id", "n_shingles", "component_id") == want
+    assert rows_of(ngram_components(docs, paired=3), "doc_id", "n_shingles", "component_id") == want
+
+
 def test_one_of_each(awkward):
     kept = one_of_each(awkward)
     assert kept.columns == awkward.columns
     texts = [r.text for r in kept.collect()]
     worded = [plain.shingles(t) for t in texts if plain.shingles(t)]
     assert len(worded) == len(set(worded))
-    found = {r[2] for r in plain.ngram_rows([r[:2] for r in awkward_docs()]) if r[1]}
-    assert len([t for t in texts if plain.shingles(t)]) == len(found)
+    # two texts under one id that are not alike are two components
+    numbered = plain.ngram_rows([(i, r[1]) for i, r in enumerate(awkward_docs())])
+    assert len([t for t in texts if plain.shingles(t)]) == len({r[2] for r in numbered if r[1]})
 
 
 @pytest.mark.parametrize("name", ["awkward", "documents"])
@@ -80,7 +106,7 @@ def test_suffix_dedup(request, name):
         assert rows_of(suffix_dedup(docs, hot=1), *columns) == want
     cut = without_repeats(docs)
     assert cut.columns == docs.columns
-    assert rows_of(cut, F.length("text")) == rows_of(suffix_dedup(docs, with_text=True), F.length("kept_text"))
+    assert rows_of(cut, F.length("text")) == rows_of(suffix_dedup(docs), F.length("text"))
 
 
 def vectors_of(spark):
