@@ -19,6 +19,8 @@ SHARD_SLOTS = 65_536
 #: Weights of the sources in code-point order, repeating; words taken of all words; most passes.
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
 ROUNDS = 24
+#: Slots that one task lays out, about.
+TASK_SLOTS = 32_768
 #: Parts of a source whose sizes are summed apart, so that no source is one task's.
 PARTS = 1024
 #: Sources up to which their table is broadcast.
@@ -40,20 +42,31 @@ def permuted(index: Column, n: Column, *key: Column, rounds: int = ROUNDS) -> Co
     return F.aggregate(F.sequence(F.lit(0), F.lit(rounds - 1)), index.cast("long"), swap_or_not)
 
 
+def with_sums_before(rows: DataFrame, order: list[str], **sums: str) -> DataFrame:
+    """rows with, for each name of sums, the sum of its column over the rows before in order.
+    Rows are cut into ranges, which are summed apart, so that no task has all of them."""
+    placed = rows.repartitionByRange(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *order)
+    placed = settle(placed.withColumn("range", F.spark_partition_id()))
+    above, inside = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = placed.groupBy("range").agg(*(F.sum(c).alias(n) for n, c in sums.items()))
+    bases = ranges.select("range", *(F.coalesce(F.sum(n).over(above), F.lit(0)).alias(f"{n}_base") for n in sums))
+    # a row for each shuffle partition
+    out = placed.join(F.broadcast(bases), "range")
+    return out.withColumns({n: F.col(f"{n}_base") + F.coalesce(F.sum(c).over(inside), F.lit(0)) for n, c in sums.items()}).select(*rows.columns, *sums)
+
+
 def source_targets(sizes: DataFrame, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
     """source_key, source_size -> also target: share of all words by weight, none above
     `most` times the source; what that cuts off goes to the others by weight."""
-    ranked = sizes.withColumn("rank", F.row_number().over(Window.orderBy("source_key")))
-    ranked = ranked.withColumn("weight", F.element_at(F.array(*(F.lit(float(w)) for w in weights)), ((F.col("rank") - 1) % len(weights) + 1).cast("int")))
-    ranked = ranked.withColumn("full_at", most * F.col("source_size") / F.col("weight"))
-    order = Window.orderBy("full_at", "source_key")
-    everything = Window.partitionBy()
-    left = share * F.sum("source_size").over(everything) - F.coalesce(most * F.sum("source_size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    level = left / F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing))
+    ranked = with_sums_before(sizes.withColumn("one", F.lit(1).cast("long")), ["source_key"], rank="one").drop("one")
+    ranked = ranked.withColumn("weight", F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.col("rank") % len(weights) + 1).cast("int")))
+    ranked = with_sums_before(ranked.withColumn("full_at", most * F.col("source_size") / F.col("weight")), ["full_at", "source_key"], size_before="source_size", weight_before="weight")
+    ranked = ranked.join(F.broadcast(ranked.agg(F.sum("source_size").alias("all_size"), F.sum("weight").alias("all_weight"))))  # one row
+    level = (share * F.col("all_size") - most * F.col("size_before")) / (F.col("all_weight") - F.col("weight_before"))
     ranked = ranked.withColumn("level", level)
-    water = F.min(F.when(F.col("level") <= F.col("full_at"), F.struct("full_at", "source_key", "level"))).over(everything)["level"]
-    target = F.least(most * F.col("source_size"), F.col("weight") * F.coalesce(water, F.lit(float("inf"))))
-    return ranked.withColumn("target", target).select("source_key", "source_size", "target")
+    water = ranked.agg(F.min(F.when(F.col("level") <= F.col("full_at"), F.struct("full_at", "source_key", "level")))["level"].alias("water"))
+    target = F.least(most * F.col("source_size"), F.col("weight") * F.coalesce("water", F.lit(float("inf"))))
+    return ranked.join(F.broadcast(water)).withColumn("target", target).select("source_key", "source_size", "target")
 
 
 def mix_plan(docs: DataFrame, block: int = BLOCK, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: int = MOST, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -86,8 +99,7 @@ def mix_plan(docs: DataFrame, block: int = BLOCK, weights: tuple[float, ...] = W
     sized = sized.select("doc_id", "doc_key", "copy", "source_id", "size", (F.col("base") + F.col("upto") - F.col("size")).alias("offset"))
 
     # multinomial draws: a ticket of all slots' tickets for each slot of each shard
-    order = Window.orderBy("source_id").rowsBetween(Window.unboundedPreceding, -1)
-    tickets = sources.select("source_id", "n_slots", F.coalesce(F.sum("n_slots").over(order), F.lit(0)).alias("low")).filter("n_slots > 0")
+    tickets = with_sums_before(sources.select("source_id", "n_slots"), ["source_id"], low="n_slots").filter("n_slots > 0")
     wide = max(1, total // 1024)
     tickets = tickets.select("*", F.explode(F.sequence(F.floor(F.col("low") / wide), F.floor((F.col("low") + F.col("n_slots") - 1) / wide))).alias("range"))
     draws = spark.range(total).select(F.floor(F.col("id") / shard_slots).alias("shard"), F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(max(1, total))).alias("ticket"))
@@ -99,10 +111,13 @@ def mix_plan(docs: DataFrame, block: int = BLOCK, weights: tuple[float, ...] = W
     # slots drawn beyond a source's number go, in further shards, to those that are short
     short = few(sources.filter("n_slots > 0")).join(counts.groupBy("source_id").agg(F.sum("taken").alias("have")), "source_id", "left")
     short = short.select("source_id", F.coalesce("have", F.lit(0)).alias("first"), (F.col("n_slots") - F.coalesce("have", F.lit(0))).alias("taken")).filter("taken > 0")
-    short = short.select("source_id", (F.floor(F.sum("taken").over(Window.orderBy("source_id")) / shard_slots) + total // shard_slots + 1).alias("shard"), "first", "taken")
+    short = with_sums_before(short, ["source_id"], before="taken")
+    short = short.select("source_id", (F.floor((F.col("before") + F.col("taken")) / shard_slots) + total // shard_slots + 1).alias("shard"), "first", "taken")
     counts = counts.unionByName(short.select("source_id", "shard", "first", "taken"))
     # long runs are cut before they are laid out slot by slot
-    counts = counts.select("source_id", "shard", F.col("first").alias("run"), "taken", F.explode(F.sequence(F.lit(0), F.floor((F.col("taken") - 1) / 1024))).alias("cut")).repartition("source_id", "shard", "cut")
+    counts = counts.select("source_id", "shard", F.col("first").alias("run"), "taken", F.explode(F.sequence(F.lit(0), F.floor((F.col("taken") - 1) / 1024))).alias("cut"))
+    # they are few bytes but much work: tasks by the number of slots
+    counts = counts.repartition(-(-total // TASK_SLOTS) + 1, "source_id", "shard", "cut")
     low = F.col("run") + F.col("cut") * 1024
     slots = counts.select("source_id", "shard", F.explode(F.sequence(low, F.least(low + 1023, F.col("run") + F.col("taken") - 1))).alias("slot"))
     slots = slots.join(few(sources), "source_id")
