@@ -6,7 +6,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 #: Rows of an Arrow batch that goes to Python: long texts make large batches otherwise.
 ARROW_ROWS = "400"
@@ -67,24 +67,25 @@ def join_skewed(rows: DataFrame, keys_table: DataFrame, keys: list[str], spread:
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """Node and component (its smallest node) of every node that an edge touches.
+    """Node and component (its smallest node) of every node that an edge touches, but for the
+    smallest nodes themselves.
 
     Alternates the large-star and small-star steps of Kiveris et al. (2014) on an
     edge table until nothing changes; each round is a table in the shared folder.
     Edges need not be distinct; loops are left out.
     """
-    now = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
-    now = settle(now)
+    now = settle(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct())
     sums = (F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64(F.lit(1), "v", "u")))
     seen = now.agg(*sums).first()
+    order = Window.partitionBy("u").orderBy("v")
+    least, last = F.first("v").over(order.rowsBetween(Window.unboundedPreceding, 0)), F.lag("v").over(order)
     while seen[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        after, before = settle(small), seen
+        large = both.withColumn("m", F.least("u", least)).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.withColumns({"m": least, "last": last}).filter("last is null or v <> last")
+        # the row of the least neighbour stands for the node itself
+        small = small.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        after, before = settle(small.filter("u <> v").distinct()), seen
         discard(now)
         now, seen = after, after.agg(*sums).first()
         # a star forest: no node is both a centre and a leaf, and each leaf has one centre

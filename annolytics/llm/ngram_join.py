@@ -19,8 +19,8 @@ verified. Links make components. What large groups hold beyond that is settled b
 bounds, so that no pair that could join two components is left out:
 
 1. Shingles of a member that no other component of members has cannot be shared with
-   one: members with too many of them have no more links. This is done again with the
-   members that are left until few go.
+   one: members with too many of them have no more links. This is done before the hubs
+   are met, when each member is a component, and again after it.
 2. The others meet by prefixes: of two similar sets each has a shingle of the other
    among its few rarest ones, so many as their sizes allow. Pairs of different
    components that share one are verified.
@@ -32,7 +32,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import connected_components, discard, settle, small_batches
 from .text_arrays import byte_runs, mix, shingle_sets
@@ -44,8 +44,6 @@ PAIRED = 24
 BUCKET_ROWS = 2_000_000
 #: Pairs with one first set that one task's group verifies.
 HOMES = 2000
-#: Members are bounded again while at least this share of them goes.
-FEW_GO = 0.1
 #: Columns of an odd sketch, of 64 bits each.
 ODD = [f"odd{i}" for i in range(8)]
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -270,9 +268,12 @@ def verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The similar ones of distinct pairs (a, b) of fingerprints; the sets meet at a's home,
     which has a place for each HOMES pairs."""
-    places = pairs.groupBy("a").agg(F.ceil(F.count("*") / HOMES).alias("places"))
-    pairs = pairs.join(places, "a").select("a", F.pmod(F.xxhash64("b"), "places").cast("int").alias("salt"), "b")
-    sends = pairs.select(F.col("a").alias("home"), "salt", F.col("b").alias("fp")).unionByName(pairs.select(F.col("a").alias("home"), "salt", F.col("a").alias("fp")).distinct())
+    places = F.ceil(F.count("*").over(Window.partitionBy("a")) / HOMES)
+    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), places).cast("int"))
+    # the first pair of a place brings the home's own set as well
+    first = F.row_number().over(Window.partitionBy("a", "salt").orderBy("b")) == 1
+    both = F.when(first, F.array("a", "b")).otherwise(F.array("b"))
+    sends = pairs.select(F.col("a").alias("home"), "salt", both.alias("fps")).select("home", "salt", F.explode("fps").alias("fp"))
     met = sends.join(sets, "fp").select("home", "salt", "fp", "elements")
     met = met.repartition("home", "salt").sortWithinPartitions("home", "salt", F.col("fp") != F.col("home"), "fp")
     return met.mapInArrow(lambda it: verify(it, percent), "a long, b long")
@@ -318,20 +319,14 @@ def by_bucket(packed: DataFrame, buckets: int, work: Callable, schema: str) -> D
     return packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(work, schema)
 
 
-def still_open(members: DataFrame, sets: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """Of members (fp, n) those that could link with a member of another component, with
-    their component."""
-    before = None
-    while True:
-        now = settle(members.join(parts, "fp", "left").withColumn("component", F.coalesce("component", "fp")))
-        size, elements = now.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-        if not size or (before is not None and size > (1 - FEW_GO) * before):
-            return now
-        buckets = n_buckets(now.sparkSession, elements)
-        packed = now.join(sets, "fp").select("fp", "component", "elements").mapInArrow(lambda it, k=buckets: pack_elements(it, k), _PACKED)
-        own = by_bucket(packed, buckets, count_own, "fp long, own long").groupBy("fp").agg(F.sum("own").alias("own"))
-        kept = now.join(own, "fp", "left").filter((F.col("n") - F.coalesce("own", F.lit(0))) * 100 >= F.col("n") * percent)
-        members, before = settle(kept.select("fp", "n")), size
+def still_open(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of members (fp, n, component) those that could link with a member of another component."""
+    members = settle(members)
+    buckets = n_buckets(members.sparkSession, members.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    packed = members.join(sets, "fp").select("fp", "component", "elements").mapInArrow(lambda it: pack_elements(it, buckets), _PACKED)
+    own = by_bucket(packed, buckets, count_own, "fp long, own long").groupBy("fp").agg(F.sum("own").alias("own"))
+    kept = members.join(own, "fp", "left").filter((F.col("n") - F.coalesce("own", F.lit(0))) * 100 >= F.col("n") * percent)
+    return settle(kept.select("fp", "n", "component"))
 
 
 def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -381,27 +376,27 @@ def ngram_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
     texts = docs.join(needed, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("doc_key") == F.col("of_key"))).select("text", "fp")
     sets = settle(texts.mapInArrow(lambda it: shingle_rows(it, width), "fp long, elements array<long>"))
 
-    edges = settle(verified(pairs, sets, percent))
-    members = members.join(classes.select("fp", "n"), "fp")
     if not hubs.isEmpty():
-        parts = connected_components(edges).withColumnRenamed("node", "fp")
-        members = still_open(members, sets, parts, percent)
-        side = members.select("fp", "component")
-        close = hubs.join(side.select(F.col("fp").alias("a"), F.col("component").alias("a_part")), "a").join(side.select(F.col("fp").alias("b"), F.col("component").alias("b_part")), "b").filter("a_part <> b_part")
+        members = members.join(classes.select("fp", "n"), "fp").withColumn("component", F.col("fp"))
+        members = still_open(members, sets, percent)
+        left = members.select("fp")
+        close = hubs.join(left.withColumnRenamed("fp", "a"), "a", "left_semi").join(left.withColumnRenamed("fp", "b"), "b", "left_semi").filter("a <> b")
         close = close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        edges = settle(edges.unionByName(verified(may_be_similar(close, classes, percent), sets, percent)))
-        parts = connected_components(edges).withColumnRenamed("node", "fp")
-        members = still_open(members.select("fp", "n"), sets, parts, percent)
-        more = may_be_similar(prefix_pairs(members, sets, percent), classes, percent)
-        edges = settle(edges.unionByName(verified(more, sets, percent)))
+        pairs = pairs.unionByName(may_be_similar(close, classes, percent)).distinct()
+    edges = settle(verified(pairs, sets, percent))
     parts = connected_components(edges)
+    if not hubs.isEmpty():
+        members = members.drop("component").join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+        members = still_open(members, sets, percent)
+        more = settle(verified(may_be_similar(prefix_pairs(members, sets, percent), classes, percent), sets, percent))
+        if not more.isEmpty():
+            parts = connected_components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     discard(sets)
 
-    parts = parts.join(classes.select(F.col("fp").alias("node"), "rep"), "node")
     # a component's own node is a leaf of none
-    heads = parts.groupBy("component").agg(F.min("rep").alias("low")).join(classes.select(F.col("fp").alias("component"), "rep"), "component").select("component", F.least("low", "rep").alias("low"))
-    named = parts.join(heads, "component").select(F.col("node").alias("fp"), "low", "component").unionByName(heads.select(F.col("component").alias("fp"), "low", "component"))
-    named = classes.join(named, "fp", "left").select("fp", F.coalesce("low", "rep").alias("low"), F.coalesce("component", "fp").alias("component_key"))
+    named = classes.select("fp", "rep").join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    lows = named.groupBy("component").agg(F.min("rep").alias("low"))
+    named = named.join(lows, "component").select("fp", "low", F.col("component").alias("component_key"))
     return base.join(named, "fp", "left").select("doc_id", "doc_key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("doc_id")).alias("component_id"), "component_key")
 
 

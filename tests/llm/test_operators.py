@@ -162,12 +162,32 @@ def test_top_k(spark):
     assert rows_of(top_k(vectors), "query_id", "rank", "vec_id", "score") == sorted(want, key=str)
 
 
+def test_threshold_search_stops_on_the_bound():
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(8, 6)) * 40
+    rows = np.floor(centres[rng.integers(0, 8, 4000)] + rng.normal(size=(4000, 6)))
+    queries, ids = rows[:50], np.arange(4000)
+    q, found, score, scored = threshold_search(queries, ids[:50], rows, ids, 5, block_rows=1000)
+    full = queries @ rows.T
+    full[np.arange(50), np.arange(50)] = -np.inf
+    for i in range(50):
+        want = np.lexsort((ids, -full[i]))[:5]
+        assert found[q == i].tolist() == want.tolist() and score[q == i].tolist() == full[i, want].tolist()
+    print("ROWS SCORED", scored.sum() / (50 * 3999))
+    assert scored.sum() < 0.5 * 50 * 3999
+
+
+def test_top_k_of_an_id_on_two_vectors(spark):
+    table = spark.createDataFrame([(50, [1.0, 0.0]), (50, [0.0, 1.0]), (1, [2.0, 1.0]), (2, [1.0, 3.0])], "vec_id long, embedding array<double>")
+    assert rows_of(top_k(table), "query_id", "rank", "vec_id", "score") == sorted([(50, 1, 1, 2 * 65536), (50, 2, 2, 65536), (50, 1, 2, 3 * 65536), (50, 2, 1, 65536)], key=str)
+
+
 def test_threshold_search_keeps_ties_of_negative_scores():
     # longest first: the first block holds id 9, the second the same score with a smaller id
     rows, ids = np.array([[-5.0, 3.0], [-5.0, 0.0], [-5.0, 0.0], [-5.0, 0.0]]), np.array([9, 1, 2, 3])
-    _, found, score = threshold_search(np.array([[1.0, 0.0]]), np.array([100]), rows, ids, 1, block_rows=1)
+    _, found, score, _ = threshold_search(np.array([[1.0, 0.0]]), np.array([100]), rows, ids, 1, block_rows=1)
     assert found.tolist() == [1] and score.tolist() == [-5]
-    _, found, _ = threshold_search(np.array([[1.0, 0.0]]), np.array([100]), rows, ids, 2, block_rows=2)
+    _, found, _, _ = threshold_search(np.array([[1.0, 0.0]]), np.array([100]), rows, ids, 2, block_rows=2)
     assert sorted(found.tolist()) == [1, 2]
 
 
