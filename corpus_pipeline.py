@@ -15,6 +15,10 @@ from annolytics.llm.quality import score_quality, train_quality
 from annolytics.llm.suffix_dedup import without_repeats
 
 
+#: Bytes of a repeated passage, and of the grams by which windows find each other.
+PASSAGE_BYTES, PASSAGE_ANCHOR = 256, 64
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier finds good."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -27,8 +31,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that they share."""
-    return without_repeats(docs)
+    """Documents without the passages that they share: of 50 words and more, which are fewer
+    bytes than the 400 of the operator's own query."""
+    return without_repeats(docs, length=PASSAGE_BYTES, anchor=PASSAGE_ANCHOR)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
