@@ -47,18 +47,35 @@ def availability(tables: dict[str, DataFrame], available: DataFrame, key: str) -
     return out
 
 
-def nearest_frames(targets: DataFrame, references: DataFrame, k: int) -> DataFrame:
+def nearest_frames(targets: DataFrame, references: DataFrame, k: int, keep_first: bool = False) -> DataFrame:
     """For each target (video_id, frame_idx) up to k reference frames of its video: the
     latest before it, the earliest not before it, then the closest (ties: the earlier).
-    Needs k >= 2. Frames of one video meet, so the work is that of its frames squared."""
+    With keep_first the earliest one before it, or else the last one after it, comes first.
+
+    The k closest are among the k last before and the k first not before a target, so that
+    references are numbered in order and each target meets 2 k places of them and no more.
+    """
     if k < 2:
         raise ValueError("k must be 2 or more")
-    pairs = targets.select("video_id", "frame_idx").distinct().join(references.select("video_id", F.col("frame_idx").alias("ref_frame")).distinct(), "video_id")
+    video = Window.partitionBy("video_id")
+    refs = references.select("video_id", F.col("frame_idx").alias("ref_frame")).distinct()
+    refs = refs.withColumns({"place": F.row_number().over(video.orderBy("ref_frame")), "n_refs": F.count("*").over(video)})
+    points = targets.select("video_id", "frame_idx").distinct()
+    both = points.select("video_id", F.col("frame_idx").alias("at"), F.lit(1).alias("is_target"), F.lit(0).alias("is_ref")).unionByName(refs.select("video_id", F.col("ref_frame").alias("at"), F.lit(0).alias("is_target"), F.lit(1).alias("is_ref")))
+    before = F.coalesce(F.sum("is_ref").over(video.orderBy("at").rangeBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = both.withColumns({"before": before, "n_refs": F.sum("is_ref").over(video)}).filter("is_target = 1 and n_refs > 0")
+    near = F.sequence(F.greatest(F.col("before") - k + 1, F.lit(1)), F.least(F.col("before") + k, F.col("n_refs")))
+    pinned = F.when(F.col("before") > 0, F.lit(1)).otherwise(F.col("n_refs")).cast("long")
+    wanted = F.array_distinct(F.concat(near, F.array(pinned))) if keep_first else near
+    pairs = placed.select("video_id", F.col("at").alias("frame_idx"), pinned.alias("pinned"), F.explode(wanted).alias("place")).join(refs.drop("n_refs"), ["video_id", "place"])
     pairs = pairs.withColumn("distance", F.abs(F.col("frame_idx") - F.col("ref_frame")))
     side = Window.partitionBy("video_id", "frame_idx", F.col("ref_frame") < F.col("frame_idx")).orderBy("distance")
-    pairs = pairs.withColumn("later", (F.row_number().over(side) > 1).cast("int"))
+    later = F.row_number().over(side) > 1
+    pairs = pairs.withColumn("later", later.cast("int"))
+    if keep_first:
+        pairs = pairs.withColumn("later", F.when(F.col("place") == F.col("pinned"), -1).otherwise(F.col("later")))
     order = Window.partitionBy("video_id", "frame_idx").orderBy("later", "distance", "ref_frame")
-    return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).drop("later", "distance")
+    return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("video_id", "frame_idx", "ref_frame", "rank")
 
 
 def best_candidate(candidates: DataFrame, group: str, item: str) -> DataFrame:

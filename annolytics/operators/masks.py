@@ -124,13 +124,19 @@ def mask_components(runs: DataFrame) -> DataFrame:
 
 
 def background(runs: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Runs of what the masks leave free; sizes: image_id, ann_id, h, w."""
-    columns = sizes.select(*KEYS, "h", F.explode(F.sequence(F.lit(0), F.col("w") - 1)).alias("col"))
-    ends = columns.select(*KEYS, F.col("col").cast("long").alias("col"), F.lit(0).cast("long").alias("row_start"), F.lit(0).cast("long").alias("row_end"), "h")
-    rows = runs.join(sizes.select(*KEYS, "h"), KEYS).select(*KEYS, "col", "row_start", (F.col("row_start") + F.col("run_len")).alias("row_end"), "h").unionByName(ends)
+    """Runs of what the masks leave free, with `beyond`. sizes: image_id, ann_id, h, w. Of the
+    free columns on either side of a mask only the next one is given; `beyond` is the pixels
+    of the others, which are one with it."""
+    ends = runs.groupBy(*KEYS).agg(F.greatest(F.min("col") - 1, F.lit(0)).alias("lo"), (F.max("col") + 1).alias("hi"))
+    ends = sizes.join(ends, KEYS).select(*KEYS, "h", "w", "lo", F.least(F.col("hi"), F.col("w") - 1).alias("hi"))
+    columns = ends.select(*KEYS, "h", "w", "lo", "hi", F.explode(F.sequence("lo", "hi")).alias("col"))
+    left, right = F.when(F.col("col") == F.col("lo"), F.col("lo")).otherwise(0), F.when(F.col("col") == F.col("hi"), F.col("w") - 1 - F.col("hi")).otherwise(0)
+    zero = F.lit(0).cast("long")
+    columns = columns.select(*KEYS, F.col("col").cast("long").alias("col"), zero.alias("row_start"), zero.alias("row_end"), "h", ((left + right) * F.col("h")).cast("long").alias("beyond"))
+    rows = runs.join(sizes.select(*KEYS, "h"), KEYS).select(*KEYS, "col", "row_start", (F.col("row_start") + F.col("run_len")).alias("row_end"), "h", zero.alias("beyond")).unionByName(columns)
     order = Window.partitionBy(*KEYS, "col").orderBy("row_end", "row_start")
     rows = rows.withColumn("next", F.coalesce(F.lead("row_start").over(order), F.col("h")))
-    return rows.filter("next > row_end").select(*KEYS, "col", F.col("row_end").alias("row_start"), (F.col("next") - F.col("row_end")).alias("run_len"))
+    return rows.filter("next > row_end").select(*KEYS, "col", F.col("row_end").alias("row_start"), (F.col("next") - F.col("row_end")).alias("run_len"), "beyond")
 
 
 def clean_masks(runs: DataFrame, sizes: DataFrame, max_area: int) -> DataFrame:
@@ -138,7 +144,10 @@ def clean_masks(runs: DataFrame, sizes: DataFrame, max_area: int) -> DataFrame:
     lesser of max_area and half of the mask; off if max_area is 0 or less. Returns runs."""
     if max_area <= 0:
         return runs.select(*KEYS, "col", "row_start", "run_len")
-    holes = mask_components(background(runs, sizes)).filter(F.col("size") <= max_area)
+    free = background(runs, sizes)
+    parts = mask_components(free).join(free.select(*KEYS, "col", "row_start", "beyond"), [*KEYS, "col", "row_start"])
+    size = F.col("size") + F.sum("beyond").over(Window.partitionBy(*KEYS, "component"))
+    holes = parts.withColumn("size", size).filter(F.col("size") <= max_area)
     from .curation import mask_union
 
     filled = mask_union(runs.select(*KEYS, "col", "row_start", "run_len").unionByName(holes.select(*KEYS, "col", "row_start", "run_len")), *KEYS)

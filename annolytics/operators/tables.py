@@ -28,8 +28,10 @@ def candidate_pairs(gt: DataFrame, dt: DataFrame, *keys: str) -> DataFrame:
 
 
 def top_detections(dt: DataFrame, k: int, key: str = "image_id") -> DataFrame:
+    """The k detections of highest score of each key, with their rank; k of 0 or less is off."""
     rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("score"), "det_id"))
-    return dt.withColumn("rank", rank).filter(F.col("rank") <= k)
+    ranked = dt.withColumn("rank", rank)
+    return ranked.filter(F.col("rank") <= k) if k > 0 else ranked
 
 
 def relabel_contiguous(df: DataFrame, value: str, *keys: str) -> Column:

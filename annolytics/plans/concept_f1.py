@@ -17,7 +17,12 @@ def image_eval(images: DataFrame, gt: DataFrame, dt: DataFrame, least_score: flo
     """One row for each image and threshold: tp, fp, fn of boxes; precision, recall and f1
     of images with anything on either side; and il_tp, il_fp, il_fn, il_tn of the image."""
     gt, dt = drop_crowd(gt), score_filter(dt, least_score)
-    matched = optimal_match(candidate_pairs(gt, dt, "image_id"), "image_id", "ann_id", "det_id", "iou")
+    return counted_eval(images, gt, dt, candidate_pairs(gt, dt, "image_id").filter("iou > 0"))
+
+
+def counted_eval(images: DataFrame, gt: DataFrame, dt: DataFrame, pairs: DataFrame) -> DataFrame:
+    """image_eval of the pairs (image_id, ann_id, det_id, iou) of gt and dt."""
+    matched = optimal_match(pairs, "image_id", "ann_id", "det_id", "iou")
     hits = matched.groupBy("image_id").agg(*(F.count_if(F.col("iou") >= t).alias(f"tp{i}") for i, t in enumerate(THRESHOLDS)))
     n_gt, n_dt = gt.groupBy("image_id").agg(F.count("*").alias("n_gt")), dt.groupBy("image_id").agg(F.count("*").alias("n_dt"))
     rows = images.select("image_id").join(n_gt, "image_id", "left").join(n_dt, "image_id", "left").join(hits, "image_id", "left").na.fill(0)
@@ -65,3 +70,60 @@ def summarize(metrics: DataFrame) -> DataFrame:
     out = [F.avg(m).alias(m) for m in BOX_METRICS] + [F.max(m).alias(m) for m in IMAGE_METRICS]
     out += [F.max(F.when(F.col("threshold") == t, F.col(m))).alias(f"{m}_{round(100 * t)}") for t in (0.5, 0.75) for m in BOX_METRICS]
     return metrics.agg(*out)
+
+
+def pair_f1(counts: DataFrame) -> DataFrame:
+    """image_eval rows of pairs of video and category -> tp, fp, fn and f1 of each, as means over
+    the thresholds and at 0.5 and 0.75; f1 is 1 where there is nothing on either side."""
+    base = 2 * F.col("tp") + F.col("fp") + F.col("fn")
+    rows = counts.withColumn("f1", F.when(base > 0, 2 * F.col("tp") / F.greatest(base, F.lit(1))).otherwise(1.0))
+    names = ("tp", "fp", "fn", "f1")
+    out = [F.avg(c).alias(c) for c in names] + [F.max(F.when(F.col("threshold") == t, F.col(c))).alias(f"{c}_{round(100 * t)}") for t in (0.5, 0.75) for c in names]
+    return rows.groupBy("image_id").agg(*out)
+
+
+def track_eval(pairs: DataFrame, gt: DataFrame, dt: DataFrame, least_score: float = 0.5) -> DataFrame:
+    """image_eval rows for pairs of video and category (image_id is the pair). pairs: pair_id,
+    video_id, category_id; gt, dt: tracks as in track_pairs, dt with a score."""
+    from .average_precision import track_pairs
+
+    keys = ["video_id", "category_id"]
+    kept = dt.filter(F.col("score") >= least_score)
+    met = track_pairs(gt, kept, *keys)
+    named = pairs.select(*keys, F.col("pair_id").alias("image_id"))
+    ids = [df.select(*keys, F.col("track_id").alias(i)).distinct().join(named, keys) for df, i in ((gt, "ann_id"), (kept, "det_id"))]
+    return counted_eval(named, ids[0], ids[1], met.join(named, keys))
+
+
+def evaluate_track_cgf1(gt: DataFrame, dt: DataFrame, declared: DataFrame, least_score: float = 0.5) -> tuple[DataFrame, DataFrame]:
+    """Metrics over all pairs of video and category, declared negatives among them, and of each."""
+    from ..operators.reshape import numbered_pairs
+
+    rows = track_eval(numbered_pairs(gt, dt, declared), gt, dt, least_score)
+    return concept_f1(rows), pair_f1(rows)
+
+
+def oracle_cgf1(images: DataFrame, annotators: list[DataFrame], dt: DataFrame, least_score: float = 0.5) -> DataFrame:
+    """image_eval rows of the annotator that suits the predictions best, image by image. images:
+    annotator, image_id, is_instance_exhaustive; annotators: their ground truth."""
+    from ..operators.reshape import best_annotator, exhaustive_images
+
+    chosen = exhaustive_images(images)
+    evals = [image_eval(chosen, gt, dt.join(chosen, "image_id", "left_semi"), least_score).withColumn("annotator", F.lit(i)) for i, gt in enumerate(annotators)]
+    rows = evals[0]
+    for other in evals[1:]:
+        rows = rows.unionByName(other)
+    means = rows.groupBy("image_id", "annotator").agg(F.avg("f1").alias("mean_f1"))
+    return rows.join(best_annotator(means).select("image_id", "annotator"), ["image_id", "annotator"])
+
+
+def demo_metrics(rows: DataFrame) -> DataFrame:
+    """Shares of images without any error, and F1 by the other conventions, at each threshold:
+    macro F1 over images with ground truth that counts a missing prediction as 0 (f1_w0dt),
+    cgf1_macro = macro F1 times MCC, and the like for micro F1 and f1_w0dt."""
+    base = concept_f1(rows)
+    there = F.col("n_gt") > 0
+    perfect = (F.col("fp") == 0) & (F.col("fn") == 0)
+    more = rows.groupBy("threshold").agg(F.avg(F.when(there, perfect.cast("int"))).alias("perfect_positives"), F.avg(F.when(~there, perfect.cast("int"))).alias("perfect_negatives"), F.sum(F.when(there, F.coalesce("f1", F.lit(0.0)))).alias("f1_sum"), F.count_if(there).alias("n_positive"))
+    out = base.join(more, "threshold").withColumn("f1_w0dt", F.col("f1_sum") / F.greatest("n_positive", F.lit(1)))
+    return out.withColumns({"cgf1_macro": F.col("positive_macro_f1") * F.col("il_mcc"), "cgf1_micro": F.col("positive_micro_f1") * F.col("il_mcc"), "cgf1_w0dt": F.col("f1_w0dt") * F.col("il_mcc")}).drop("f1_sum", "n_positive")

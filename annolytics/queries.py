@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -208,9 +209,9 @@ def best_candidate(spark, d):
     return C.best_candidate(pairs.join(dt.select("image_id", "det_id", "score"), ["image_id", "det_id"]), "ann_id", "det_id").select("image_id", "ann_id", "det_id")
 
 
-@register("SELECT video_id, frame_idx, track_id % 1000 AS track_id, count(*) AS n_rows FROM dt_tracks GROUP BY 1, 2, 3 HAVING count(*) > 1")
+@register("SELECT video_id, frame_idx, track_id % 3 AS track_id, count(*) AS n_rows FROM dt_tracks GROUP BY 1, 2, 3 HAVING count(*) > 1")
 def repeated_ids(spark, d):
-    return C.repeated_ids(view(spark, d, "dt_tracks").withColumn("track_id", F.col("track_id") % 1000))
+    return C.repeated_ids(view(spark, d, "dt_tracks").withColumn("track_id", F.col("track_id") % 3))
 
 
 @register("SELECT video_id, track_id, sum(w * h) / 8 AS mean_area, sum(w * h) / count(*) AS mean_seen_area FROM dt_tracks GROUP BY video_id, track_id")
@@ -242,6 +243,11 @@ def write_predictions(spark, d):
     return C.write_form(view(spark, d, "dt_boxes")).select("image_id", "det_id", "x", "y", "w", "h", "score")
 
 
+# each module puts its own queries in the register
+for _module in ("curation", "metrics", "reshape", "shapes"):
+    import_module(f".queries_{_module}", __package__)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return registered()
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 
 from .functions import boxes as B
 from .operators import matching as M, reshape as R, suppression as S
-from .plans import average_precision as A, tracking as H
+from .plans import average_precision as A, concept_f1 as F1, tracking as H
 from .views import register, view
 
 
@@ -216,3 +216,48 @@ def filtered_assignment(spark, d):
     pairs = candidate_pairs(view(spark, d, "gt_boxes"), view(spark, d, "dt_boxes"), "image_id", "category_id")
     costs = pairs.withColumn("cost", F.when(F.col("iou") > 0, 1 - F.col("iou")).otherwise(1e8))
     return M.filtered_assignment(costs, "image_id", "det_id", "ann_id", "cost", 2)
+
+
+@register()
+def oracle_cgf1(spark, d):
+    """Three annotators, of whom the second and third miss some objects."""
+    gt = view(spark, d, "gt_boxes")
+    images = view(spark, d, "np").select("image_id", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("annotator")).withColumn("is_instance_exhaustive", (F.col("image_id") + F.col("annotator")) % 5 != 0)
+    rows = F1.oracle_cgf1(images, [gt, gt.filter("ann_id % 13 <> 0"), gt.filter("ann_id % 11 <> 0")], view(spark, d, "dt_boxes"))
+    return F1.concept_f1(rows)
+
+
+@register()
+def demo_metrics(spark, d):
+    return F1.demo_metrics(F1.image_eval(view(spark, d, "image_np"), view(spark, d, "gt_boxes"), view(spark, d, "dt_boxes")))
+
+
+def _track_cgf1(spark, d):
+    gt = view(spark, d, "gt_tracks")
+    declared = gt.select("video_id", F.lit(9).cast("long").alias("category_id")).distinct()
+    return F1.evaluate_track_cgf1(gt, view(spark, d, "dt_tracks"), declared)
+
+
+@register()
+def evaluate_track_cgf1(spark, d):
+    return _track_cgf1(spark, d)[0]
+
+
+@register()
+def pair_f1(spark, d):
+    return _track_cgf1(spark, d)[1]
+
+
+@register()
+def evaluate_video_suite(spark, d):
+    """Every video evaluation's headline metrics as one table of metric and value."""
+    gt, dt = view(spark, d, "gt_tracks"), view(spark, d, "dt_tracks")
+    parts = [A.mean_precision(A.evaluate_track_map(gt, dt, by)).filter("area_range = 'all'").select(F.explode(F.array(*(F.struct(F.lit(f"{name}_{c}").alias("metric"), F.col(c).alias("value")) for c in ("ap", "ap50", "ap75", "ar")))).alias("m")).select("m.*") for by, name in ((True, "track"), (False, "phrase"))]
+    cgf1 = F1.summarize(_track_cgf1(spark, d)[0])
+    parts.append(cgf1.select(F.explode(F.array(*(F.struct(F.lit(f"track_{c}").alias("metric"), F.col(c).alias("value")) for c in cgf1.columns))).alias("m")).select("m.*"))
+    levels = H.alpha_means(H.evaluate_hota(gt, dt, "phrase").filter("level = 'detection_average'"), "level")
+    parts.append(levels.select(F.explode(F.array(*(F.struct(F.lit(f"phrase_{c}").alias("metric"), F.col(c).alias("value")) for c in levels.columns if c != "level"))).alias("m")).select("m.*"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
