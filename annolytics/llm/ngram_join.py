@@ -32,14 +32,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import connected_components, discard, settle, small_batches
 from .text_arrays import byte_runs, mix, shingle_sets
 
 WIDTH, PERCENT = 5, 80
 #: Classes in a group of one signature of which all pairs are given.
-PAIRED = 24
+PAIRED = 10
 #: Signatures in a bucket, about: one bucket at a time is in a task's memory.
 BUCKET_ROWS = 2_000_000
 #: Pairs with one first set that one task's group verifies.
@@ -79,11 +79,17 @@ def fingerprint(s: np.ndarray) -> int:
     return int(mix(np.array([mix(s).sum(dtype=np.uint64) + np.uint64(len(s))], np.uint64)).view(np.int64)[0])
 
 
-def odd_sketch(s: np.ndarray) -> np.ndarray:
-    """The parity of the number of elements in each of 512 cells, as bits of 8 numbers:
-    two sets differ in at least as many elements as their sketches in bits."""
-    cells = np.bincount((s >> np.uint64(23)).astype(np.int64) & 511, minlength=512)
-    return np.packbits((cells & 1).astype(np.uint8)).view(np.int64)
+def odd_sketch(s: np.ndarray, cells: int = 512) -> np.ndarray:
+    """The parity of the number of elements in each cell, as bits of 64-bit numbers: two sets
+    differ in at least as many elements as their sketches in bits. The two halves of a
+    sketch make one of half as many cells."""
+    counts = np.bincount((s >> np.uint64(23)).astype(np.int64) & (cells - 1), minlength=cells)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
+def wide_sketch(s: np.ndarray) -> np.ndarray:
+    """An odd sketch of at least four cells for each element."""
+    return odd_sketch(s, max(512, 1 << (4 * len(s) - 1).bit_length()))
 
 
 def signatures(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.ndarray]:
@@ -232,14 +238,17 @@ def meet_in_buckets(batches: Iterator[pa.RecordBatch], percent: int, paired: int
 
 
 def shingle_rows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """text, fp -> fp, elements."""
+    """text, fp -> fp, n, sketch (wide), elements."""
     for batch in batches:
         fps = batch.column(1)
         for first, last, data, offsets in byte_runs(batch.column(0)):
             sets = shingle_sets(data, offsets, width)
             ends = np.cumsum([0, *(len(s) for s in sets)])
             flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([fps.slice(first, last - first), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["fp", "elements"])
+            sketches = [wide_sketch(s) for s in sets]
+            bits = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(x) for x in sketches)]), pa.int32()), pa.array(np.concatenate(sketches)))
+            sizes = pa.array(np.diff(ends).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([fps.slice(first, last - first), sizes, bits, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["fp", "n", "sketch", "elements"])
 
 
 def _slices(column: pa.Array) -> list[np.ndarray]:
@@ -274,7 +283,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     first = F.row_number().over(Window.partitionBy("a", "salt").orderBy("b")) == 1
     both = F.when(first, F.array("a", "b")).otherwise(F.array("b"))
     sends = pairs.select(F.col("a").alias("home"), "salt", both.alias("fps")).select("home", "salt", F.explode("fps").alias("fp"))
-    met = sends.join(sets, "fp").select("home", "salt", "fp", "elements")
+    met = sends.join(sets.select("fp", "elements"), "fp").select("home", "salt", "fp", "elements")
     met = met.repartition("home", "salt").sortWithinPartitions("home", "salt", F.col("fp") != F.col("home"), "fp")
     return met.mapInArrow(lambda it: verify(it, percent), "a long, b long")
 
@@ -288,6 +297,20 @@ def may_be_similar(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFr
     return pairs.filter(close).select("a", "b")
 
 
+def still_similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that wide sketches do not rule out either. The wider of two is folded."""
+    for side in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("fp").alias(side), F.col("n").alias(f"{side}_n"), F.col("sketch").alias(f"{side}_sketch")), side)
+    width = F.least(F.size("a_sketch"), F.size("b_sketch"))
+
+    def folded(x: Column) -> Column:
+        return F.when(F.size(x) > width, F.zip_with(F.slice(x, F.lit(1), width), F.slice(x, width + 1, width), lambda u, v: u.bitwiseXOR(v))).otherwise(x)
+
+    apart = F.zip_with(folded(F.col("a_sketch")), folded(F.col("b_sketch")), lambda u, v: F.bit_count(u.bitwiseXOR(v)))
+    differ = F.aggregate(apart, F.lit(0), lambda t, v: t + v)
+    return pairs.filter(differ * (100 + percent) <= (F.col("a_n") + F.col("b_n")) * (100 - percent)).select("a", "b")
+
+
 def count_own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Packed elements sorted by bucket, with fingerprint and component of their sets -> fp and
     the number of its elements in the bucket that are in no other component."""
@@ -316,14 +339,14 @@ def n_buckets(spark, rows: int) -> int:
 
 
 def by_bucket(packed: DataFrame, buckets: int, work: Callable, schema: str) -> DataFrame:
-    return packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(work, schema)
+    return packed.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(work, schema)
 
 
 def still_open(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of members (fp, n, component) those that could link with a member of another component."""
     members = settle(members)
     buckets = n_buckets(members.sparkSession, members.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
-    packed = members.join(sets, "fp").select("fp", "component", "elements").mapInArrow(lambda it: pack_elements(it, buckets), _PACKED)
+    packed = members.join(sets.select("fp", "elements"), "fp").select("fp", "component", "elements").mapInArrow(lambda it: pack_elements(it, buckets), _PACKED)
     own = by_bucket(packed, buckets, count_own, "fp long, own long").groupBy("fp").agg(F.sum("own").alias("own"))
     kept = members.join(own, "fp", "left").filter((F.col("n") - F.coalesce("own", F.lit(0))) * 100 >= F.col("n") * percent)
     return settle(kept.select("fp", "n", "component"))
@@ -332,7 +355,7 @@ def still_open(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of members (fp, n, component) of different components that share one of their
     rarest shingles, so many as two similar sets of their sizes have to look at."""
-    rows = members.join(sets, "fp").select("fp", "n", "component", F.explode("elements").alias("x"))
+    rows = members.join(sets.select("fp", "elements"), "fp").select("fp", "n", "component", F.explode("elements").alias("x"))
     rows = rows.join(rows.groupBy("x").agg(F.count("*").alias("often")).filter("often > 1"), "x", "left")
     ordered = F.transform(F.array_sort(F.collect_set(F.struct(F.coalesce("often", F.lit(1)).alias("often"), "x"))), lambda s: s["x"])
     look = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
@@ -371,10 +394,11 @@ def ngram_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
 
     members = hubs.select(F.col("b").alias("fp")).distinct()
     needed = members.unionByName(pairs.select(F.col("a").alias("fp"))).unionByName(pairs.select(F.col("b").alias("fp"))).distinct().join(classes, "fp")
-    needed = needed.select("fp", F.col("one.doc_id").alias("of_id"), F.col("one.doc_key").alias("of_key"))
+    # tables, not plans: Spark then knows their size, and moves no texts or sets to meet small ones
+    needed = settle(needed.select("fp", F.col("one.doc_id").alias("of_id"), F.col("one.doc_key").alias("of_key")))
     # rows that are equal in id and text give a set again, which does no harm below
     texts = docs.join(needed, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("doc_key") == F.col("of_key"))).select("text", "fp")
-    sets = settle(texts.mapInArrow(lambda it: shingle_rows(it, width), "fp long, elements array<long>"))
+    sets = settle(texts.mapInArrow(lambda it: shingle_rows(it, width), "fp long, n long, sketch array<long>, elements array<long>"))
 
     if not hubs.isEmpty():
         members = members.join(classes.select("fp", "n"), "fp").withColumn("component", F.col("fp"))
@@ -383,12 +407,13 @@ def ngram_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
         close = hubs.join(left.withColumnRenamed("fp", "a"), "a", "left_semi").join(left.withColumnRenamed("fp", "b"), "b", "left_semi").filter("a <> b")
         close = close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = pairs.unionByName(may_be_similar(close, classes, percent)).distinct()
-    edges = settle(verified(pairs, sets, percent))
+    edges = settle(verified(settle(still_similar(pairs, sets, percent)), sets, percent))
     parts = connected_components(edges)
     if not hubs.isEmpty():
         members = members.drop("component").join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
         members = still_open(members, sets, percent)
-        more = settle(verified(may_be_similar(prefix_pairs(members, sets, percent), classes, percent), sets, percent))
+        more = settle(still_similar(prefix_pairs(members, sets, percent), sets, percent))
+        more = settle(verified(more, sets, percent))
         if not more.isEmpty():
             parts = connected_components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     discard(sets)
