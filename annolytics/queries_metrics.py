@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import functions as F
 
 from .functions import boxes as B
 from .operators import matching as M, reshape as R, suppression as S
@@ -164,11 +164,7 @@ def exhaustive_images(spark, d):
     return R.exhaustive_images(rows.withColumn("is_instance_exhaustive", (F.col("image_id") + F.col("annotator")) % 5 != 0))
 
 
-def _annotator_f1() -> tuple[str, Column]:
-    return "CASE WHEN (image_id + a.i * 3) % 4 = 0 THEN NULL ELSE (image_id * (a.i + 1)) % 10 END", F.when((F.col("image_id") + F.col("annotator") * 3) % 4 != 0, (F.col("image_id") * (F.col("annotator") + 1)) % 10)
-
-
-_F1 = _annotator_f1()[0]
+_F1 = "CASE WHEN (image_id + a.i * 3) % 4 = 0 THEN NULL ELSE (image_id * (a.i + 1)) % 10 END"
 _STEP = "CASE WHEN {0} IS NOT NULL AND {1} IS NOT NULL THEN {1} > {0} ELSE {1} IS NULL END"
 
 
@@ -176,7 +172,7 @@ _STEP = "CASE WHEN {0} IS NOT NULL AND {1} IS NOT NULL THEN {1} > {0} ELSE {1} I
   SELECT image_id, {_F1.replace('a.i', '0')} AS f0, {_F1.replace('a.i', '1')} AS f1, {_F1.replace('a.i', '2')} AS f2 FROM (SELECT DISTINCT image_id FROM np)))""")
 def best_annotator(spark, d):
     rows = view(spark, d, "np").select("image_id").distinct().withColumn("annotator", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
-    return R.best_annotator(rows.withColumn("mean_f1", _annotator_f1()[1])).select("image_id", "annotator")
+    return R.best_annotator(rows.withColumn("mean_f1", F.when((F.col("image_id") + F.col("annotator") * 3) % 4 != 0, (F.col("image_id") * (F.col("annotator") + 1)) % 10))).select("image_id", "annotator")
 
 
 @register("""SELECT image_id, det_id, ann_id FROM (SELECT p.image_id, p.det_id, p.ann_id, merit, quantile_cont(merit, 0.9) OVER (PARTITION BY p.image_id, p.ann_id) AS cut FROM (

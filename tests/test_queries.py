@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from annolytics import queries as Q
 from annolytics.operators import tables as T
-from annolytics.operators.matching import assign
+from annolytics.operators.ordered import assign
 from annolytics.plans.concept_f1 import concept_f1, image_eval, summarize
 
 
@@ -68,9 +68,3 @@ def test_mean_target_iou_counts_missed_targets(spark):
     assert sorted(map(tuple, T.mean_target_iou(images, gt, matched).collect())) == [(1, 2, 0.4), (2, 1, 0.0), (3, 0, 1.0)]
 
 
-def test_nms_keeps_the_best_and_no_overlap(spark):
-    boxes = [(1, 1, 0.9, 0.0, 0.0, 2.0, 1.0), (1, 2, 0.8, 0.0, 0.0, 1.0, 1.0), (1, 3, 0.8, 0.0, 0.0, 1.9, 1.0), (2, 4, 0.05, 0.0, 0.0, 1.0, 1.0), (2, 5, 0.9, 5.0, 5.0, 1.0, 1.0)]
-    table = spark.createDataFrame(boxes, "image_id long, det_id long, score double, x double, y double, w double, h double")
-    from annolytics.operators.matching import nms
-
-    assert sorted(r.det_id for r in nms(table, "image_id", "det_id", "score", 0.1, 0.5).collect()) == [1, 2, 5]
