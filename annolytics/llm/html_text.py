@@ -22,6 +22,9 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 SELF_CLOSING = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 ENDS_PARAGRAPH = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol pre section table ul".split())
 SIDE_WORDS = frozenset("ad ads advert adverts advertisement sponsor sponsored promo banner sidebar side comment comments disqus replies cookie cookies consent notice notices alert popup modal menu nav navbar navigation breadcrumb breadcrumbs footer header masthead share sharing social related recommended newsletter subscribe signup widget pagination pager".split())
+#: Blocks of running text: within an article a name of several words, such as share-price, does
+#: not make them something beside it.
+RUNNING_TEXT = frozenset("p blockquote pre h1 h2 h3 h4 h5 h6 figcaption td li dd".split())
 SIDE_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert dialog alertdialog".split())
 WHOLE = frozenset("html body main article".split())
 #: What may stand in a head; anything else ends it.
@@ -56,8 +59,10 @@ def is_side(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) ->
     for name, value in attrs:
         if name == "role" and (value or "").lower() in SIDE_ROLES:
             return True
-        if name in ("class", "id") and value and any(w in SIDE_WORDS for w in re.split(r"[^a-z]+", value.lower())):
-            return True
+        if name in ("class", "id") and value:
+            text = in_article and tag in RUNNING_TEXT
+            if any(w in SIDE_WORDS for w in (value.lower().split() if text else re.split(r"[^a-z]+", value.lower()))):
+                return True
     return False
 
 
@@ -69,6 +74,8 @@ class TreeBuilder(HTMLParser):
         self.root = self.now = Node("root", None)
         self.open: Counter[str] = Counter()
         self.keep_side = keep_side
+        self.links: list[str] = []
+        self.title: list[str] = []
 
     def _close(self, tag: str) -> None:
         while self.now.tag != tag:
@@ -85,6 +92,8 @@ class TreeBuilder(HTMLParser):
         for other in SELF_CLOSING.get(tag, ()):
             if self.now.tag == other or (tag == "p" and self.open["p"]):
                 self._close(other)
+        if tag == "a":
+            self.links.extend(value or "" for name, value in attrs if name == "href")
         side = not self.keep_side and is_side(tag, attrs, self.open["article"] + self.open["main"] > 0)
         node = Node(tag, self.now, tag in UNSEEN or self.now.unseen, side)
         if not node.unseen or tag == "br":
@@ -105,6 +114,8 @@ class TreeBuilder(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.now.tag == "head" and data.strip():
             self._close("head")
+        if self.now.tag == "title":
+            self.title.append(data)
         if not self.now.unseen:
             self.now.children.append(data)
 
@@ -246,15 +257,17 @@ def score_tree(root: Node) -> list[Node]:
 
 
 def main_text(html: str | None) -> str:
-    """Blocks of the article, joined by one space; empty if there is none."""
+    """Blocks of the article, joined by one space; empty if there is none. A page without a
+    block long enough to score has its text beside menus and the like, if that is no list
+    of links."""
     if not html:
         return ""
     root = parse(html)
     drop_side(root)
     nodes = score_tree(root)
     best = max(nodes, key=lambda x: x.points)
-    if best.points <= 0:
-        return " ".join(blocks_of([root]))
+    if best.points <= 0:  # no paragraph: what is left, unless it is links for the most part
+        return " ".join(blocks_of([root])) if 2 * root.link_chars < root.chars else ""
     up = best
     while up is not None:  # an article is kept with its heading
         if up.tag in NAMED_POINTS:
@@ -274,9 +287,18 @@ def main_text(html: str | None) -> str:
     return " ".join(blocks_of(kept))
 
 
+def page_parts(html: str) -> tuple[str | None, list[str], str]:
+    """Title (null if there is none), targets of the links in page order, and all text that a
+    reader of the page could see, a line for each block."""
+    builder = TreeBuilder(keep_side=True)
+    builder.feed(html)
+    builder.close()
+    title = " ".join("".join(builder.title).split())
+    return title or None, builder.links, "\n".join(blocks_of([builder.root]))
+
+
 def visible_text(html: str) -> str:
-    """All text that a reader of the page could see, a line for each block."""
-    return "\n".join(blocks_of([parse(html, keep_side=True)]))
+    return page_parts(html)[2]
 
 
 def main_text_column(html: Column) -> Column:
@@ -293,7 +315,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
     pages: page_id long, url string, html string; other columns are left out. One row per
     input row: page_id, url, text, n_chars (code points). A null or empty html, and a
-    page without an article, have an empty text; repeated rows stay.
+    page of nothing but menus and links, have an empty text; repeated rows stay.
     """
     out = pages.select(F.col("page_id").cast("long"), "url", main_text_column(F.coalesce("html", F.lit(""))).alias("text"))
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

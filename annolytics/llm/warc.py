@@ -20,13 +20,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from .common import small_batches
-from .html_text import visible_text
+from .html_text import page_parts
 
 #: Capture time given to pages that come without one.
 NO_DATE = "1970-01-01T00:00:00Z"
 _CONTENT = {"metadata": "application/json", "conversion": "text/plain"}
-_LINK = re.compile(r"""<a\s[^>]*?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_TITLE = re.compile(r"<title[^>]*>(.*?)</title", re.I | re.S)
 
 
 def digest(data: bytes) -> str:
@@ -67,10 +65,10 @@ def derive(record: bytes) -> Iterator[tuple[str, dict[str, str], bytes]]:
     status, *lines = head.decode("utf-8", "replace").split("\r\n")
     http = {k.strip(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
     html = payload.decode("utf-8", "replace")
-    title = _TITLE.search(html)
-    page = {"Title": " ".join(title[1].split()) if title else None, "Links": [next(filter(None, x), "") for x in _LINK.findall(html)]}
+    title, links, text = page_parts(html)
+    page = {"Title": title, "Links": links}
     envelope = {"WARC-Header-Metadata": source, "Payload-Metadata": {"Response-Status": status, "Headers": http, "HTML-Metadata": page}, "Actual-Payload-Digest": digest(payload)}
-    for kind, out in (("metadata", json.dumps({"Envelope": envelope}, ensure_ascii=False, sort_keys=True).encode()), ("conversion", visible_text(html).encode())):
+    for kind, out in (("metadata", json.dumps({"Envelope": envelope}, ensure_ascii=False, sort_keys=True).encode()), ("conversion", text.encode())):
         headers = {"WARC-Type": kind, "WARC-Record-ID": record_id(kind, source["WARC-Record-ID"]), "WARC-Refers-To": source["WARC-Record-ID"], "WARC-Date": source.get("WARC-Date", NO_DATE), "WARC-Target-URI": source.get("WARC-Target-URI", ""), "Content-Type": _CONTENT[kind], "WARC-Block-Digest": digest(out)}
         if "WARC-Payload-Digest" in source:
             headers["WARC-Source-Payload-Digest"] = source["WARC-Payload-Digest"]

@@ -362,6 +362,9 @@ STORY_TEXT = "Some story, with words, and commas, that is long enough to be a pa
         (f"<body><article>{STORY}</article><ol class='comments'><li><article><p>A reader, with a comment, of a fair length.</p></article></ol>", STORY_TEXT),
         ("<body><nav><a href='/'>Home</a></nav><form>Short text</form>", "Short text"),
         ("<body><nav><a href='/'>Home</a></nav>", ""),
+        ("<body><div><a href='/'>Menu</a> <a href='/b'>only</a></div>", ""),
+        (f"<body><article>{STORY}<p class='share-price'>The price of a share rose, on the day, by two parts in a hundred.</p></article>", STORY_TEXT + " The price of a share rose, on the day, by two parts in a hundred."),
+        (f"<body><article>{STORY}<p class='share'>Share this, with all of your friends, on every network there is.</p></article>", STORY_TEXT),
     ],
 )
 def test_names_beside_the_article_lose_no_article(page, want):
@@ -374,6 +377,18 @@ def test_an_open_head_ends_with_the_body():
         assert {k: b for k, _, b in warc.derive(warc.response_record(1, "u", page))}["conversion"] == b"Seen"
 
 
+def test_links_come_from_the_tree():
+    page = """<title>A &amp; B</title><!-- <a href="no">x</a> --><a data-href="d" href="/a?b=1&amp;c=2">y</a><script>'<a href="s">'</script><A HREF=bare>z</A><a name="n">w</a>"""
+    body = {k: b for k, _, b in warc.derive(warc.response_record(1, "u", page))}["metadata"]
+    assert json.loads(body)["Envelope"]["Payload-Metadata"]["HTML-Metadata"] == {"Title": "A & B", "Links": ["/a?b=1&c=2", "bare"]}
+
+
+def test_long_pages_give_records(spark):
+    pages = spark.createDataFrame([(1, "u", "<p>" + "word " * 400_000), (2, "v", "<div>" * 2000 + "deep")], "page_id long, url string, html string")
+    rows = {(r.page_id, r.record_type): r for r in warc.derivative_records(pages).collect()}
+    assert rows[1, "conversion"].content_length == 5 * 400_000 - 1 and rows[2, "conversion"].block == "deep"
+
+
 def test_warc_derivatives(spark):
     record = warc.response_record(7, "http://a.b/c", PAGE)
     source, block = warc.decode_record(record)
