@@ -210,6 +210,55 @@ def test_sharding(awkward):
     assert all(r.grown_shard in (r.shard, 40) for r in rows)
 
 
+def test_every_shard_is_that_of_the_published_loop(spark, documents):
+    keys = {r.doc_id: r.key for r in documents.select("doc_id", F.xxhash64("doc_id").alias("key")).collect()}
+    for r in shard_rows(documents).collect():
+        for shards, got in ((40, r.shard), (41, r.grown_shard)):
+            key, bucket, j = keys[r.doc_id] % 2**64, -1, 0
+            while j < shards:
+                bucket, key = j, (key * 2862933555777941757 + 1) % 2**64
+                j = int((bucket + 1) * (float(1 << 31) / ((key >> 33) + 1)))
+            assert bucket == got
+
+
+def test_written_shards_hold_all_rows(spark, awkward, tmp_path):
+    from annolytics.llm.sharding import write_shards
+
+    plain_rows = awkward.drop("shard", "part")
+    write_shards(plain_rows, f"file://{tmp_path}/out", 5)
+    assert rows_of(spark.read.parquet(f"file://{tmp_path}/out"), *plain_rows.columns) == rows_of(plain_rows, *plain_rows.columns)
+
+
+def plain_best_fit(sizes: list[int], length: int, most: int) -> list[tuple[int, int]]:
+    """Bounded-space best-fit by lists: bin and offset of each item."""
+    bins: list[list[int]] = []  # number, free places, in order of their last change
+    made, out = 0, []
+    for size in sizes:
+        fit = [b for b in bins if b[1] >= size]
+        if fit:
+            least = min(b[1] for b in fit)
+            b = [b for b in fit if b[1] == least][-1]
+            bins.remove(b)
+        else:
+            if len(bins) == most:
+                least = min(b[1] for b in bins)
+                bins.remove([b for b in bins if b[1] == least][-1])
+            b, made = [made, length], made + 1
+        out.append((b[0], length - b[1]))
+        if b[1] > size:
+            bins.append([b[0], b[1] - size])
+    return out
+
+
+def test_packing_is_bounded_best_fit(documents):
+    rows = pack_documents(documents, open_bins=7).select("*", F.xxhash64("doc_id", F.lit(0))).collect()
+    assert {r.sequence_id >> 32 for r in rows} == {0}  # one group
+    text = F.coalesce("text", F.lit(""))
+    keys = {r.doc_id: (r.place, r.doc_key) for r in documents.select("doc_id", F.xxhash64("doc_id", text).alias("doc_key")).withColumn("place", F.pmod(F.xxhash64("doc_key", F.lit(1)), F.lit(1 << 20))).collect()}
+    rows.sort(key=lambda r: (keys[r.doc_id][0], r.doc_id, keys[r.doc_id][1], r.piece))
+    assert [(r.sequence_id, r.offset) for r in rows] == plain_best_fit([r.length for r in rows], 2048, 7)
+
+
 @pytest.mark.parametrize("name", ["awkward", "documents"])
 def test_packing(request, name):
     docs = request.getfixturevalue(name)
