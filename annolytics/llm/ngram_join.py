@@ -238,9 +238,9 @@ def meet_in_buckets(batches: Iterator[pa.RecordBatch], percent: int, paired: int
 
 
 def shingle_rows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """text, fp -> fp, n, sketch (wide), elements."""
+    """text, fp, member -> fp, member, n, sketch (wide), elements."""
     for batch in batches:
-        fps = batch.column(1)
+        given = batch.columns[1:]
         for first, last, data, offsets in byte_runs(batch.column(0)):
             sets = shingle_sets(data, offsets, width)
             ends = np.cumsum([0, *(len(s) for s in sets)])
@@ -248,7 +248,7 @@ def shingle_rows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.R
             sketches = [wide_sketch(s) for s in sets]
             bits = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(x) for x in sketches)]), pa.int32()), pa.array(np.concatenate(sketches)))
             sizes = pa.array(np.diff(ends).astype(np.int64))
-            yield pa.RecordBatch.from_arrays([fps.slice(first, last - first), sizes, bits, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["fp", "n", "sketch", "elements"])
+            yield pa.RecordBatch.from_arrays([*(c.slice(first, last - first) for c in given), sizes, bits, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["fp", "member", "n", "sketch", "elements"])
 
 
 def _slices(column: pa.Array) -> list[np.ndarray]:
@@ -342,20 +342,19 @@ def by_bucket(packed: DataFrame, buckets: int, work: Callable, schema: str) -> D
     return packed.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(work, schema)
 
 
-def still_open(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of members (fp, n, component) those that could link with a member of another component."""
-    members = settle(members)
-    buckets = n_buckets(members.sparkSession, members.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
-    packed = members.join(sets.select("fp", "elements"), "fp").select("fp", "component", "elements").mapInArrow(lambda it: pack_elements(it, buckets), _PACKED)
+def still_open(sets: DataFrame, percent: int) -> DataFrame:
+    """fp of the sets (fp, n, component, elements) that could be similar to one of another component."""
+    buckets = n_buckets(sets.sparkSession, sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    packed = sets.select("fp", "component", "elements").mapInArrow(lambda it: pack_elements(it, buckets), _PACKED)
     own = by_bucket(packed, buckets, count_own, "fp long, own long").groupBy("fp").agg(F.sum("own").alias("own"))
-    kept = members.join(own, "fp", "left").filter((F.col("n") - F.coalesce("own", F.lit(0))) * 100 >= F.col("n") * percent)
-    return settle(kept.select("fp", "n", "component"))
+    kept = sets.select("fp", "n").join(own, "fp", "left").filter((F.col("n") - F.coalesce("own", F.lit(0))) * 100 >= F.col("n") * percent)
+    return settle(kept.select("fp").distinct())
 
 
-def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members (fp, n, component) of different components that share one of their
+def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets (fp, n, component, elements) of different components that share one of their
     rarest shingles, so many as two similar sets of their sizes have to look at."""
-    rows = members.join(sets.select("fp", "elements"), "fp").select("fp", "n", "component", F.explode("elements").alias("x"))
+    rows = sets.select("fp", "n", "component", F.explode("elements").alias("x"))
     rows = rows.join(rows.groupBy("x").agg(F.count("*").alias("often")).filter("often > 1"), "x", "left")
     ordered = F.transform(F.array_sort(F.collect_set(F.struct(F.coalesce("often", F.lit(1)).alias("often"), "x"))), lambda s: s["x"])
     look = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
@@ -393,27 +392,28 @@ def ngram_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
     discard(met)
 
     members = hubs.select(F.col("b").alias("fp")).distinct()
-    needed = members.unionByName(pairs.select(F.col("a").alias("fp"))).unionByName(pairs.select(F.col("b").alias("fp"))).distinct().join(classes, "fp")
-    # tables, not plans: Spark then knows their size, and moves no texts or sets to meet small ones
-    needed = settle(needed.select("fp", F.col("one.doc_id").alias("of_id"), F.col("one.doc_key").alias("of_key")))
+    of_pairs = pairs.select(F.explode(F.array("a", "b")).alias("fp"), F.lit(False).alias("member"))
+    needed = of_pairs.unionByName(members.withColumn("member", F.lit(True))).groupBy("fp").agg(F.max("member").alias("member")).join(classes, "fp")
+    needed = needed.select("fp", "member", F.col("one.doc_id").alias("of_id"), F.col("one.doc_key").alias("of_key"))
     # rows that are equal in id and text give a set again, which does no harm below
-    texts = docs.join(needed, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("doc_key") == F.col("of_key"))).select("text", "fp")
-    sets = settle(texts.mapInArrow(lambda it: shingle_rows(it, width), "fp long, n long, sketch array<long>, elements array<long>"))
+    texts = docs.join(needed, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("doc_key") == F.col("of_key"))).select("text", "fp", "member")
+    sets = settle(texts.mapInArrow(lambda it: shingle_rows(it, width), "fp long, member boolean, n long, sketch array<long>, elements array<long>"))
 
-    if not hubs.isEmpty():
-        members = members.join(classes.select("fp", "n"), "fp").withColumn("component", F.col("fp"))
-        members = still_open(members, sets, percent)
-        left = members.select("fp")
+    crowded = not hubs.isEmpty()
+    if crowded:
+        # each member is a component of its own at first
+        left = still_open(sets.filter("member").withColumn("component", F.col("fp")), percent)
         close = hubs.join(left.withColumnRenamed("fp", "a"), "a", "left_semi").join(left.withColumnRenamed("fp", "b"), "b", "left_semi").filter("a <> b")
         close = close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = pairs.unionByName(may_be_similar(close, classes, percent)).distinct()
     edges = settle(verified(settle(still_similar(pairs, sets, percent)), sets, percent))
     parts = connected_components(edges)
-    if not hubs.isEmpty():
-        members = members.drop("component").join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-        members = still_open(members, sets, percent)
-        more = settle(still_similar(prefix_pairs(members, sets, percent), sets, percent))
-        more = settle(verified(more, sets, percent))
+    if crowded:
+        # few sets are left, and go in a table of their own
+        named = left.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+        few = settle(sets.filter("member").join(named, "fp"))
+        few = settle(few.join(still_open(few, percent), "fp", "left_semi"))
+        more = settle(verified(settle(still_similar(prefix_pairs(few, percent), few, percent)), few, percent))
         if not more.isEmpty():
             parts = connected_components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     discard(sets)
