@@ -7,15 +7,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .conversations import damage, repair_conversations
 from .embedding_dedup import embedding_components
 from .html_text import extract_pages
 from .mixing import mix_sizes
 from .ngram_join import ngram_components
 from .packing import pack_documents
+from .periodic_runs import periodic_runs, repeat_tails, run_digests
 from .quality import classify_quality
 from .sharding import shard_rows
 from .suffix_dedup import suffix_dedup
 from .topk import top_k
+from .toxicity import classify_toxicity
 from .warc import derivative_records
 
 
@@ -63,9 +66,21 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(periodic_runs(repeat_tails(_table(spark, sf_dir, "documents"))))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(damage(_table(spark, sf_dir, "conversations")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ten = (op1_html_extraction, op2_top_k, op3_sharding, op4_embedding_dedup, op5_packing, op6_warc_derivatives, op7_mixing, op8_suffix_dedup, op9_ngram_join, op10_quality)
-    return {f.__name__: f for f in ten}
+    all_of_them = (op1_html_extraction, op2_top_k, op3_sharding, op4_embedding_dedup, op5_packing, op6_warc_derivatives, op7_mixing, op8_suffix_dedup, op9_ngram_join, op10_quality, op11_periodic_runs, op12_toxicity, op13_conversation_repair)
+    return {f.__name__: f for f in all_of_them}
 
 
 def oracle_sql() -> dict[str, str]:
