@@ -202,11 +202,16 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, rows: int =
     characters at most. All usable labels give the shares by which the classes count in
     the calibration. Without documents of both classes, the share of toxic ones (0.0 without
     any) is returned, and is every document's score."""
-    known = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).filter(usable)
-    known = known.join(labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("toxic in (0, 1)"), "doc_id")
+    text = F.coalesce("text", F.lit(""))
+    named = docs.select("doc_id", text.alias("text"), F.xxhash64("doc_id", text).alias("place")).filter(usable)
+    marked = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("toxic in (0, 1)").distinct()
+    # texts stay where they are: the join and the choice see ids, and the chosen ids are few
+    known = named.select("doc_id", "place", F.length("text").alias("size")).join(marked, "doc_id").select("doc_id", "place", "size", "toxic")
     number = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
-    short = known.filter(F.length("text") <= FIT_CHARS).withColumn("place", F.xxhash64("doc_id", "text"))
-    sample = [r for y in (0, 1) for r in short.filter(F.col("toxic") == y).orderBy("place").limit(rows).select("text", "toxic").collect()]
+    short = known.filter(F.col("size") <= FIT_CHARS).distinct()
+    chosen = [tuple(r) for y in (0, 1) for r in short.filter(F.col("toxic") == y).orderBy("place", "doc_id").limit(rows).select("doc_id", "place", "toxic").collect()]
+    ids = docs.sparkSession.createDataFrame(chosen, named.select("doc_id", "place", F.lit(0).alias("toxic")).schema)
+    sample = named.join(F.broadcast(ids), ["doc_id", "place"]).groupBy("doc_id", "place", "toxic").agg(F.first("text").alias("text")).collect()
     taken = Counter(r.toxic for r in sample)
     share = number.get(1, 0) / max(1, sum(number.values()))
     if not taken[0] or not taken[1]:
