@@ -11,11 +11,11 @@ from .ordered import assign, first_free, optimal_pairs
 __all__ = ["assign", "associate", "filtered_assignment", "greedy_match", "one_to_many_match", "optimal_match"]
 
 
-def optimal_match(pairs: DataFrame, group: str | Sequence[str], left: str, right: str, score: str) -> DataFrame:
-    """The pairs of the 1:1 assignment of greatest total score within each group. Pairs whose
-    score is null or not above 0 add nothing and are never in it."""
+def optimal_match(pairs: DataFrame, group: str | Sequence[str], left: str, right: str, score: str, carry: Sequence[str] = ()) -> DataFrame:
+    """The pairs of the 1:1 assignment of greatest total score within each group, with the
+    columns `carry`. Pairs whose score is null or not above 0 add nothing and are never in it."""
     keys = [group] if isinstance(group, str) else list(group)
-    return optimal_pairs(pairs, keys, left, right, score)
+    return optimal_pairs(pairs, keys, left, right, score, list(carry))
 
 
 def filtered_assignment(costs: DataFrame, group: str, row: str, target: str, cost: str, repeats: int = 1, limit: float = 1e8) -> DataFrame:
@@ -26,8 +26,7 @@ def filtered_assignment(costs: DataFrame, group: str, row: str, target: str, cos
     total = F.sum(F.abs(F.col(cost))).over(Window.partitionBy(group)) + 1
     scored = copies.withColumn("gain", total - F.col(cost)).withColumn("place", F.struct(target, "again"))
     ids = scored.withColumn("place", F.dense_rank().over(Window.partitionBy(group).orderBy("place")).cast("long"))
-    found = optimal_pairs(ids, [group], row, "place", "gain")
-    return found.join(ids.select(group, row, "place", target, cost), [group, row, "place"]).select(group, row, target, cost)
+    return optimal_pairs(ids, [group], row, "place", "gain", [target, cost]).select(group, row, target, cost)
 
 
 def greedy_match(pairs: DataFrame, group: Sequence[str], thresholds: Sequence[float]) -> DataFrame:
@@ -42,8 +41,7 @@ def greedy_match(pairs: DataFrame, group: Sequence[str], thresholds: Sequence[fl
     levels = F.filter(F.array(*(F.when(F.col("iou") >= F.lit(t), F.lit(i)) for i, t in enumerate(thresholds))), lambda x: x.isNotNull())
     rows = pairs.withColumn("threshold", F.explode(levels)).withColumns({"ignored": F.col("ignored").cast("boolean"), "free": F.col("iscrowd").cast("boolean")})
     order = [F.desc("score"), "det_id", "ignored", F.desc("iou"), F.desc("ann_id")]
-    found = first_free(rows, [*keys, "threshold"], "det_id", "ann_id", "free", order)
-    return found.join(rows.select(*keys, "threshold", "det_id", "ann_id", "ignored"), [*keys, "threshold", "det_id", "ann_id"])
+    return first_free(rows, [*keys, "threshold"], "det_id", "ann_id", "free", order, ["ignored"])
 
 
 def one_to_many_match(pairs: DataFrame, group: str, n_queries: int, alpha: float = 0.3, top: int = 4, threshold: float = 0.4) -> DataFrame:

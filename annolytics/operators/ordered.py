@@ -71,13 +71,15 @@ def suppressed(conflicts: DataFrame, group: list[str], better: str, worse: str,
     return ranked.mapInArrow(lambda batches: (decide(b) for b in whole_groups(batches, len(group))), _typed(conflicts, [*group, worse]))
 
 
-def first_free(pairs: DataFrame, group: list[str], taker: str, taken: str, reusable: str, order: list[Column | str]) -> DataFrame:
+def first_free(pairs: DataFrame, group: list[str], taker: str, taken: str, reusable: str, order: list[Column | str], carry: list[str] | None = None) -> DataFrame:
     """Greedy matching: in the order given, each taker takes the first item of its pairs that
-    is free; an item whose `reusable` is true stays free. Pairs of one taker stand together."""
+    is free; an item whose `reusable` is true stays free. Pairs of one taker stand together.
+    The columns `carry` of the pairs come along."""
+    more = list(carry or [])
 
     def decide(batch: pa.RecordBatch) -> pa.RecordBatch:
         keep, busy, served = [], set(), set()
-        for i, row in enumerate(zip(*(c.to_pylist() for c in batch.columns), strict=True)):
+        for i, row in enumerate(zip(*(c.to_pylist() for c in batch.columns[: len(group) + 3]), strict=True)):
             key, a, b, again = row[:-3], row[-3], row[-2], row[-1]
             if (key, a) in served or (key, b) in busy:
                 continue
@@ -85,10 +87,10 @@ def first_free(pairs: DataFrame, group: list[str], taker: str, taken: str, reusa
             if not again:
                 busy.add((key, b))
             keep.append(i)
-        return batch.select([*group, taker, taken]).take(pa.array(keep, pa.int64()))
+        return batch.select([*group, taker, taken, *more]).take(pa.array(keep, pa.int64()))
 
-    ranked = pairs.repartition(*group).sortWithinPartitions(*group, *order).select(*group, taker, taken, reusable)
-    return ranked.mapInArrow(lambda batches: (decide(b) for b in whole_groups(batches, len(group))), _typed(pairs, [*group, taker, taken]))
+    ranked = pairs.repartition(*group).sortWithinPartitions(*group, *order).select(*group, taker, taken, reusable, *more)
+    return ranked.mapInArrow(lambda batches: (decide(b) for b in whole_groups(batches, len(group))), _typed(pairs, [*group, taker, taken, *more]))
 
 
 def assign(score: np.ndarray) -> list[tuple[int, int]]:
@@ -158,11 +160,12 @@ def best_pairs(left: np.ndarray, right: np.ndarray, score: np.ndarray) -> np.nda
     return np.array(sorted(chosen), np.int64)
 
 
-def optimal_pairs(pairs: DataFrame, group: list[str], left: str, right: str, score: str) -> DataFrame:
+def optimal_pairs(pairs: DataFrame, group: list[str], left: str, right: str, score: str, carry: list[str] | None = None) -> DataFrame:
     """The pairs of the 1:1 assignment of greatest total score within each group; pairs
     without a positive score add nothing and are left out. Of equal best assignments the
-    one that the search meets first in the order of ids is taken, on every run."""
-    names = [*group, left, right, score]
+    one that the search meets first in the order of ids is taken, on every run. The
+    columns `carry` of the pairs come along."""
+    names = [*group, left, right, score, *(carry or [])]
     rows = pairs.select(*names).filter(F.col(score) > 0)
 
     def decide(batch: pa.RecordBatch) -> pa.RecordBatch:
