@@ -51,18 +51,32 @@ def mask_similarity(left: DataFrame, right: DataFrame) -> DataFrame:
     return met.select("image_id", "a", "b", "pixels", (F.col("pixels") / union).alias("iou"), (F.col("pixels") / F.greatest(F.least("a_area", "b_area"), F.lit(1))).alias("iom"))
 
 
-def track_mask_iou(gt: DataFrame, dt: DataFrame) -> DataFrame:
-    """IoU over all frames of the tracks of a video: gt_track, dt_track, iou. Both tables:
-    video_id, track_id, frame_idx, col, row_start, run_len. Tracks without a pixel in
-    common have IoU 0 and no row; two empty tracks, which have no run, count as equal
-    (1) where the caller joins them."""
-    keys = ["video_id", "frame_idx"]
+def mask_frame_pairs(gt: DataFrame, dt: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, frame_idx, gt_id, dt_id, sim (IoU) of the masks of a frame that have a pixel in
+    common. gt, dt: keys, frame_idx, track_id, col, row_start, run_len."""
+    on = [*keys, "frame_idx"]
+    met = overlaps_between(*(df.withColumnRenamed("track_id", "ann_id") for df in (gt, dt)), *on)
+    for df, s in ((gt, "a"), (dt, "b")):
+        met = met.join(df.groupBy(*on, F.col("track_id").alias(s)).agg(F.sum("run_len").alias(f"{s}_area")), [*on, s])
+    return met.select(*on, F.col("a").alias("gt_id"), F.col("b").alias("dt_id"), (F.col("pixels") / (F.col("a_area") + F.col("b_area") - F.col("pixels"))).alias("sim"))
+
+
+def track_mask_iou(gt: DataFrame, dt: DataFrame, keys: tuple[str, ...] = ("video_id",), gt_tracks: DataFrame | None = None, dt_tracks: DataFrame | None = None) -> DataFrame:
+    """IoU over all frames of the tracks of a video (of `keys`): keys, gt_track, dt_track, iou.
+    Both tables: keys, track_id, frame_idx, col, row_start, run_len. Tracks without a pixel in
+    common have IoU 0 and no row. A track without any pixel has no run: where the tables of
+    all tracks (keys, track_id) are given, two such tracks have IoU 1."""
+    on = [*keys, "frame_idx"]
     a, b = (df.withColumnRenamed("track_id", "ann_id") for df in (gt, dt))
-    both = overlaps_between(a, b, *keys).groupBy("video_id", "a", "b").agg(F.sum("pixels").alias("both"))
+    both = overlaps_between(a, b, *on).groupBy(*keys, "a", "b").agg(F.sum("pixels").alias("both"))
     for df, s in ((gt, "a"), (dt, "b")):
-        area = df.groupBy("video_id", F.col("track_id").alias(s)).agg(F.sum("run_len").alias(f"{s}_area"))
-        both = both.join(area, ["video_id", s])
-    return both.select("video_id", F.col("a").alias("gt_track"), F.col("b").alias("dt_track"), (F.col("both") / (F.col("a_area") + F.col("b_area") - F.col("both"))).alias("iou"))
+        area = df.groupBy(*keys, F.col("track_id").alias(s)).agg(F.sum("run_len").alias(f"{s}_area"))
+        both = both.join(area, [*keys, s])
+    out = both.select(*keys, F.col("a").alias("gt_track"), F.col("b").alias("dt_track"), (F.col("both") / (F.col("a_area") + F.col("b_area") - F.col("both"))).alias("iou"))
+    if gt_tracks is None or dt_tracks is None:
+        return out
+    empty = [tracks.select(*keys, "track_id").distinct().join(runs.filter("run_len > 0").select(*keys, "track_id"), [*keys, "track_id"], "left_anti").withColumnRenamed("track_id", f"{s}_track") for tracks, runs, s in ((gt_tracks, gt, "gt"), (dt_tracks, dt, "dt"))]
+    return out.unionByName(empty[0].join(empty[1], list(keys)).withColumn("iou", F.lit(1.0)))
 
 
 def boundary_f_measure(masks: DataFrame, gt_edge: DataFrame, dt_edge: DataFrame, gt_wide: DataFrame, dt_wide: DataFrame) -> DataFrame:

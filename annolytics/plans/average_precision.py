@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.boxes import box, intersection
+from ..operators.masks import track_mask_iou
 from ..operators.matching import greedy_match
 from ..operators.tables import top_detections
 
@@ -124,15 +125,21 @@ def track_pairs(gt: DataFrame, dt: DataFrame, *keys: str) -> DataFrame:
     return both.select(*keys, "ann_id", "det_id", (F.col("both") / (F.col("gt_area") + F.col("dt_area") - F.col("both"))).alias("iou"))
 
 
-def evaluate_track_map(gt: DataFrame, dt: DataFrame, by_category: bool = True, max_dets: int = 100) -> DataFrame:
+def evaluate_track_map(gt: DataFrame, dt: DataFrame, by_category: bool = True, max_dets: int = 100, masks: bool = False) -> DataFrame:
     """AP and AR of tracks. gt, dt: video_id, category_id, track_id, frame_idx, x, y, w, h, and
-    dt a score, one for a track. Without by_category all pairs of video and category are one
-    class (phrases): category_id is then 1 in the result."""
+    dt a score, one for a track; with masks, runs (col, row_start, run_len) instead of boxes.
+    Without by_category all pairs of video and category are one class (phrases):
+    category_id is then 1 in the result."""
     keys = ["video_id", "category_id"]
-    mean = F.avg(F.col("w") * F.col("h")).alias("area")
+    if masks:
+        pairs = track_mask_iou(gt, dt, tuple(keys)).withColumnsRenamed({"gt_track": "ann_id", "dt_track": "det_id"})
+        gt, dt = (df.groupBy(*keys, "track_id", "frame_idx", *more).agg(F.sum("run_len").alias("size")) for df, more in ((gt, []), (dt, ["score"])))
+        mean = F.avg("size").alias("area")
+    else:
+        pairs, mean = track_pairs(gt, dt, *keys), F.avg(F.col("w") * F.col("h")).alias("area")
     ann = gt.groupBy(*keys, F.col("track_id").alias("ann_id")).agg(mean).withColumn("iscrowd", F.lit(0))
     det = dt.groupBy(*keys, F.col("track_id").alias("det_id")).agg(mean, F.max("score").alias("score"))
-    matched, counted = ap_matches(ann, det, track_pairs(gt, dt, *keys), keys, TRACK_AREAS, max_dets=max_dets)
+    matched, counted = ap_matches(ann, det, pairs, keys, TRACK_AREAS, max_dets=max_dets)
     if not by_category:
         one = F.lit(1).cast("long")
         matched, counted = matched.withColumn("pair", F.col("category_id")).withColumn("category_id", one), counted.withColumn("category_id", one)

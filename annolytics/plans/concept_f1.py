@@ -3,21 +3,32 @@ objects are delimited (box level)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from ..operators.masks import boundary_f_measure, mask_similarity, track_mask_iou
 from ..operators.matching import optimal_match
 from ..operators.tables import candidate_pairs, drop_crowd, score_filter
 
 # IoU thresholds and the terms that keep denominators above 0.
 THRESHOLDS = (0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95)
-BOX_TERM, IMAGE_TERM = 1e-4, 1e-6
+BOX_TERM, IMAGE_TERM, MEAN_TERM = 1e-4, 1e-6, 1e-9
 
 
-def image_eval(images: DataFrame, gt: DataFrame, dt: DataFrame, least_score: float = 0.5) -> DataFrame:
-    """One row for each image and threshold: tp, fp, fn of boxes; precision, recall and f1
-    of images with anything on either side; and il_tp, il_fp, il_fn, il_tn of the image."""
+def scored_pairs(gt: DataFrame, dt: DataFrame, runs: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """image_id, ann_id, det_id and IoU above 0 of boxes, or of the masks whose run tables of
+    ground truth and of predictions are given."""
+    if runs is None:
+        return candidate_pairs(gt, dt, "image_id").filter("iou > 0")
+    own = [r.join(df.select("image_id", F.col(i).alias("ann_id")), ["image_id", "ann_id"], "left_semi") for r, df, i in zip(runs, (gt, dt), ("ann_id", "det_id"), strict=True)]
+    return mask_similarity(*own).select("image_id", F.col("a").alias("ann_id"), F.col("b").alias("det_id"), "iou")
+
+
+def image_eval(images: DataFrame, gt: DataFrame, dt: DataFrame, least_score: float = 0.5, runs: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """One row for each image and threshold: tp, fp, fn of boxes, or of masks where the run
+    tables of both sides are given; precision, recall and f1 of images with anything on either
+    side; and il_tp, il_fp, il_fn, il_tn of the image."""
     gt, dt = drop_crowd(gt), score_filter(dt, least_score)
-    return counted_eval(images, gt, dt, candidate_pairs(gt, dt, "image_id").filter("iou > 0"))
+    return counted_eval(images, gt, dt, scored_pairs(gt, dt, runs))
 
 
 def counted_eval(images: DataFrame, gt: DataFrame, dt: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -82,34 +93,36 @@ def pair_f1(counts: DataFrame) -> DataFrame:
     return rows.groupBy("image_id").agg(*out)
 
 
-def track_eval(pairs: DataFrame, gt: DataFrame, dt: DataFrame, least_score: float = 0.5) -> DataFrame:
+def track_eval(pairs: DataFrame, gt: DataFrame, dt: DataFrame, least_score: float = 0.5, masks: bool = False) -> DataFrame:
     """image_eval rows for pairs of video and category (image_id is the pair). pairs: pair_id,
-    video_id, category_id; gt, dt: tracks as in track_pairs, dt with a score."""
+    video_id, category_id; gt, dt: tracks as in track_pairs, or with masks their runs, dt
+    with a score."""
     from .average_precision import track_pairs
 
     keys = ["video_id", "category_id"]
     kept = dt.filter(F.col("score") >= least_score)
-    met = track_pairs(gt, kept, *keys)
+    met = track_mask_iou(gt, kept, tuple(keys)).withColumnsRenamed({"gt_track": "ann_id", "dt_track": "det_id"}) if masks else track_pairs(gt, kept, *keys)
     named = pairs.select(*keys, F.col("pair_id").alias("image_id"))
     ids = [df.select(*keys, F.col("track_id").alias(i)).distinct().join(named, keys) for df, i in ((gt, "ann_id"), (kept, "det_id"))]
     return counted_eval(named, ids[0], ids[1], met.join(named, keys))
 
 
-def evaluate_track_cgf1(gt: DataFrame, dt: DataFrame, declared: DataFrame, least_score: float = 0.5) -> tuple[DataFrame, DataFrame]:
+def evaluate_track_cgf1(gt: DataFrame, dt: DataFrame, declared: DataFrame, least_score: float = 0.5, masks: bool = False) -> tuple[DataFrame, DataFrame]:
     """Metrics over all pairs of video and category, declared negatives among them, and of each."""
     from ..operators.reshape import numbered_pairs
 
-    rows = track_eval(numbered_pairs(gt, dt, declared), gt, dt, least_score)
+    rows = track_eval(numbered_pairs(gt, dt, declared), gt, dt, least_score, masks)
     return concept_f1(rows), pair_f1(rows)
 
 
-def oracle_cgf1(images: DataFrame, annotators: list[DataFrame], dt: DataFrame, least_score: float = 0.5) -> DataFrame:
+def oracle_cgf1(images: DataFrame, annotators: list[DataFrame], dt: DataFrame, least_score: float = 0.5, runs: list[tuple[DataFrame, DataFrame]] | None = None) -> DataFrame:
     """image_eval rows of the annotator that suits the predictions best, image by image. images:
-    annotator, image_id, is_instance_exhaustive; annotators: their ground truth."""
+    annotator, image_id, is_instance_exhaustive; annotators: their ground truth; runs: for masks,
+    the run tables of each annotator and of the predictions."""
     from ..operators.reshape import best_annotator, exhaustive_images
 
     chosen = exhaustive_images(images)
-    evals = [image_eval(chosen, gt, dt.join(chosen, "image_id", "left_semi"), least_score).withColumn("annotator", F.lit(i)) for i, gt in enumerate(annotators)]
+    evals = [image_eval(chosen, gt, dt.join(chosen, "image_id", "left_semi"), least_score, runs[i] if runs else None).withColumn("annotator", F.lit(i)) for i, gt in enumerate(annotators)]
     rows = evals[0]
     for other in evals[1:]:
         rows = rows.unionByName(other)
@@ -127,3 +140,40 @@ def demo_metrics(rows: DataFrame) -> DataFrame:
     more = rows.groupBy("threshold").agg(F.avg(F.when(there, perfect.cast("int"))).alias("perfect_positives"), F.avg(F.when(~there, perfect.cast("int"))).alias("perfect_negatives"), F.sum(F.when(there, F.coalesce("f1", F.lit(0.0)))).alias("f1_sum"), F.count_if(there).alias("n_positive"))
     out = base.join(more, "threshold").withColumn("f1_w0dt", F.col("f1_sum") / F.greatest("n_positive", F.lit(1)))
     return out.withColumns({"cgf1_macro": F.col("positive_macro_f1") * F.col("il_mcc"), "cgf1_micro": F.col("positive_micro_f1") * F.col("il_mcc"), "cgf1_w0dt": F.col("f1_w0dt") * F.col("il_mcc")}).drop("f1_sum", "n_positive")
+
+
+def region_boundary(gt: DataFrame, dt: DataFrame, runs: tuple[DataFrame, DataFrame], edges: tuple[DataFrame, DataFrame], wide: tuple[DataFrame, DataFrame], least_score: float = 0.5) -> DataFrame:
+    """image_id, j (mean IoU), f (mean boundary F) and j_and_f of the 1:1 assignment of masks, for
+    images with something on both sides. runs, edges, wide: the run tables of masks, of
+    their boundaries and of the widened boundaries, of ground truth and of predictions.
+    As many pairs count as the smaller side has; those without a common pixel go by id."""
+    gt, dt = drop_crowd(gt), score_filter(dt, least_score)
+    keys = ["image_id", "ann_id", "det_id"]
+    matched = optimal_match(scored_pairs(gt, dt, runs), "image_id", "ann_id", "det_id", "iou").select(*keys, "iou")
+    rest = [df.select("image_id", i).join(matched, ["image_id", i], "left_anti").withColumn("place", F.row_number().over(Window.partitionBy("image_id").orderBy(i))) for df, i in ((gt, "ann_id"), (dt, "det_id"))]
+    pairs = matched.unionByName(rest[0].join(rest[1], ["image_id", "place"]).select(*keys, F.lit(0.0).alias("iou")))
+    partner = pairs.select("image_id", "ann_id", "det_id")
+
+    def of_partner(table: DataFrame) -> DataFrame:
+        return table.withColumnRenamed("ann_id", "det_id").join(partner, ["image_id", "det_id"]).drop("det_id")
+
+    f = boundary_f_measure(partner, edges[0], of_partner(edges[1]), wide[0], of_partner(wide[1])).select("image_id", "ann_id", "f")
+    each = pairs.join(f, ["image_id", "ann_id"]).groupBy("image_id").agg(F.avg("iou").alias("j"), (F.sum("f") / (F.count("*") + MEAN_TERM)).alias("f"))
+    return each.withColumn("j_and_f", (F.col("j") + F.col("f")) / 2)
+
+
+#: Outputs that have a mean over the thresholds and values at 0.5 and 0.75: name and column.
+DEMO_LEVELS = {"cgf1": "cgf1_macro", "precision": "precision", "recall": "recall", "f1": "micro_f1", "macro_f1": "positive_macro_f1", "perfect_pos": "perfect_positives", "perfect_neg": "perfect_negatives", "cgf1_micro": "cgf1_micro", "positive_micro_precision": "positive_micro_precision", "positive_micro_f1": "positive_micro_f1", "cgf1_w0dt": "cgf1_w0dt", "positive_w0dt_macro_f1": "f1_w0dt"}
+
+
+def demo_summary(rows: DataFrame, regions: DataFrame | None = None) -> DataFrame:
+    """One row of the 44 outputs over image_eval rows and region_boundary rows; j, f and j_and_f
+    are 0 where no image has a match."""
+    metrics = demo_metrics(rows)
+    out = [F.coalesce(F.avg(c), F.lit(0.0)).alias(n) for n, c in DEMO_LEVELS.items()] + [F.max(m).alias(m) for m in IMAGE_METRICS]
+    out += [F.coalesce(F.max(F.when(F.col("threshold") == t, F.col(c))), F.lit(0.0)).alias(f"{n}_{round(100 * t)}") for t in (0.5, 0.75) for n, c in DEMO_LEVELS.items()]
+    one = metrics.agg(*out)
+    names = ("j", "f", "j_and_f")
+    if regions is None:
+        return one.select("*", *(F.lit(0.0).alias(c) for c in names))
+    return one.join(regions.agg(*(F.coalesce(F.sum(c) / (F.count("*") + MEAN_TERM), F.lit(0.0)).alias(c) for c in names)))

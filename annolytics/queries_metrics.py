@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .functions import boxes as B
-from .operators import matching as M, reshape as R, suppression as S
-from .plans import average_precision as A, concept_f1 as F1, tracking as H
+from .operators import masks as K, matching as M, reshape as R, suppression as S
+from .plans import average_precision as A, concept_f1 as F1, teta as E, tracking as H
 from .views import register, view
 
 
@@ -189,12 +189,13 @@ def one_to_many_match(spark, d):
 _FRAME = """(SELECT g.image_id AS frame, t.det_id, g.ann_id AS track_id, i / (g.w * g.h + t.w * t.h - i) AS iou FROM gt_boxes g JOIN dt_boxes t ON g.image_id = t.image_id, LATERAL (SELECT """ + _BOTH.format("g", "t") + """ AS i))"""
 
 
-@register(f"""SELECT * FROM (WITH p AS {_FRAME}, new AS (SELECT image_id AS frame, det_id FROM dt_boxes t WHERE score >= 0.7 AND NOT EXISTS (SELECT 1 FROM p WHERE p.frame = t.image_id AND p.det_id = t.det_id AND iou >= 0.5))
-  SELECT frame, 'new' AS kind, det_id, CAST(NULL AS BIGINT) AS track_id FROM new UNION ALL SELECT frame, 'matched', det_id, track_id FROM p WHERE iou >= 0.5
-  UNION ALL SELECT image_id, 'unmatched', NULL, ann_id FROM gt_boxes g WHERE iscrowd = 0 AND NOT EXISTS (SELECT 1 FROM p WHERE p.frame = g.image_id AND p.track_id = g.ann_id AND iou >= 0.5)
+@register(f"""SELECT * FROM (WITH p AS MATERIALIZED {_FRAME}, near AS MATERIALIZED (SELECT * FROM p WHERE iou >= 0.5),
+  new AS MATERIALIZED (SELECT t.image_id AS frame, t.det_id FROM dt_boxes t LEFT JOIN (SELECT DISTINCT frame, det_id FROM near) n ON n.frame = t.image_id AND n.det_id = t.det_id WHERE t.score >= 0.7 AND n.det_id IS NULL),
+  best AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY frame, det_id ORDER BY iou DESC, track_id) AS k FROM p WHERE iou >= 0.8)
+  SELECT frame, 'new' AS kind, det_id, CAST(NULL AS BIGINT) AS track_id FROM new UNION ALL SELECT frame, 'matched', det_id, track_id FROM near
+  UNION ALL SELECT g.image_id, 'unmatched', NULL, g.ann_id FROM gt_boxes g LEFT JOIN (SELECT DISTINCT frame, track_id FROM near) n ON n.frame = g.image_id AND n.track_id = g.ann_id WHERE g.iscrowd = 0 AND n.track_id IS NULL
   UNION ALL SELECT image_id, 'empty', NULL, ann_id FROM gt_boxes WHERE iscrowd = 1
-  UNION ALL SELECT q.frame, 'sure', q.det_id, q.track_id FROM (SELECT p.*, row_number() OVER (PARTITION BY p.frame, p.det_id ORDER BY iou DESC, p.track_id) AS k FROM p) q JOIN dt_boxes t ON t.image_id = q.frame AND t.det_id = q.det_id
-    WHERE k = 1 AND iou >= 0.8 AND score >= 0.8 AND NOT EXISTS (SELECT 1 FROM new n WHERE n.frame = q.frame AND n.det_id = q.det_id))""")
+  UNION ALL SELECT q.frame, 'sure', q.det_id, q.track_id FROM best q JOIN dt_boxes t ON t.image_id = q.frame AND t.det_id = q.det_id LEFT JOIN new n ON n.frame = q.frame AND n.det_id = q.det_id WHERE k = 1 AND t.score >= 0.8 AND n.det_id IS NULL)""")
 def associate(spark, d):
     from .operators.tables import candidate_pairs
 
@@ -223,9 +224,36 @@ def oracle_cgf1(spark, d):
     return F1.concept_f1(rows)
 
 
+def _by_image(spark, d, runs=None):
+    return F1.image_eval(view(spark, d, "image_np"), view(spark, d, "gt_boxes"), view(spark, d, "dt_boxes"), runs=runs)
+
+
+def _runs(spark, d):
+    return view(spark, d, "mask_runs"), view(spark, d, "dt_runs")
+
+
+@register()
+def evaluate_cgf1_masks(spark, d):
+    return F1.concept_f1(_by_image(spark, d, _runs(spark, d)))
+
+
 @register()
 def demo_metrics(spark, d):
-    return F1.demo_metrics(F1.image_eval(view(spark, d, "image_np"), view(spark, d, "gt_boxes"), view(spark, d, "dt_boxes")))
+    return F1.demo_metrics(_by_image(spark, d))
+
+
+def _edge(runs):
+    """The first and last pixel of each run stand for the boundary."""
+    ends = F.explode(F.array("row_start", F.col("row_start") + F.col("run_len") - 1))
+    return runs.select("image_id", "ann_id", "col", ends.alias("row_start"), F.lit(1).cast("long").alias("run_len"))
+
+
+@register()
+def demo_summary(spark, d):
+    gt, dt, runs = view(spark, d, "gt_boxes"), view(spark, d, "dt_boxes"), _runs(spark, d)
+    edges = tuple(_edge(r) for r in runs)
+    wide = tuple(e.withColumns({"row_start": F.col("row_start") - 2, "run_len": F.lit(5).cast("long")}) for e in edges)
+    return F1.demo_summary(_by_image(spark, d, runs), F1.region_boundary(gt, dt, runs, edges, wide))
 
 
 def _track_cgf1(spark, d):
@@ -244,6 +272,52 @@ def pair_f1(spark, d):
     return _track_cgf1(spark, d)[1]
 
 
+_MASK_PAIRS = """(SELECT g.video_id, g.category_id, g.frame_idx, g.track_id AS gt_id, t.track_id AS dt_id, sum(least(g.row_start + g.run_len, t.row_start + t.run_len) - greatest(g.row_start, t.row_start)) AS i
+  FROM gt_track_runs g JOIN dt_track_runs t ON g.video_id = t.video_id AND g.category_id = t.category_id AND g.frame_idx = t.frame_idx AND g.col = t.col AND g.row_start < t.row_start + t.run_len AND t.row_start < g.row_start + g.run_len GROUP BY ALL)"""
+
+
+@register(f"""SELECT p.video_id, p.category_id, p.frame_idx, p.gt_id, p.dt_id, round(i / (ga + da - i), 9) AS sim FROM {_MASK_PAIRS} p
+  JOIN (SELECT video_id, category_id, frame_idx, track_id AS gt_id, sum(run_len) AS ga FROM gt_track_runs GROUP BY ALL) USING (video_id, category_id, frame_idx, gt_id)
+  JOIN (SELECT video_id, category_id, frame_idx, track_id AS dt_id, sum(run_len) AS da FROM dt_track_runs GROUP BY ALL) USING (video_id, category_id, frame_idx, dt_id)""")
+def mask_frame_pairs(spark, d):
+    out = K.mask_frame_pairs(view(spark, d, "gt_track_runs"), view(spark, d, "dt_track_runs"), ["video_id", "category_id"])
+    return out.withColumn("sim", F.round("sim", 9))
+
+
+@register()
+def evaluate_track_map_masks(spark, d):
+    return A.evaluate_track_map(view(spark, d, "gt_track_runs"), view(spark, d, "dt_track_runs"), masks=True)
+
+
+@register()
+def evaluate_track_cgf1_masks(spark, d):
+    gt = view(spark, d, "gt_track_runs")
+    declared = gt.select("video_id", F.lit(9).cast("long").alias("category_id")).distinct()
+    return F1.evaluate_track_cgf1(gt, view(spark, d, "dt_track_runs"), declared, masks=True)[0]
+
+
+@register()
+def evaluate_hota_masks(spark, d):
+    return H.evaluate_hota(view(spark, d, "gt_track_runs"), view(spark, d, "dt_track_runs"), masks=True).filter("level <> 'sequence'")
+
+
+def _other_classes(spark, d):
+    """Predictions of which some carry another class than what they lie over."""
+    dt = view(spark, d, "dt_tracks")
+    return dt.withColumn("category_id", F.when(F.col("track_id") % 5 == 0, F.col("category_id") % 4 + 1).otherwise(F.col("category_id")))
+
+
+@register()
+def teta_sequence(spark, d):
+    counts = E.teta_counts(view(spark, d, "gt_tracks"), _other_classes(spark, d))
+    return E.teta_summary(E.teta_combine(counts, "video_id", "category_id"), "video_id", "category_id")
+
+
+@register()
+def evaluate_teta(spark, d):
+    return E.evaluate_teta(view(spark, d, "gt_tracks"), _other_classes(spark, d), "track", exhaustive=True)
+
+
 @register()
 def evaluate_video_suite(spark, d):
     """Every video evaluation's headline metrics as one table of metric and value."""
@@ -253,6 +327,8 @@ def evaluate_video_suite(spark, d):
     parts.append(cgf1.select(F.explode(F.array(*(F.struct(F.lit(f"track_{c}").alias("metric"), F.col(c).alias("value")) for c in cgf1.columns))).alias("m")).select("m.*"))
     levels = H.alpha_means(H.evaluate_hota(gt, dt, "phrase").filter("level = 'detection_average'"), "level")
     parts.append(levels.select(F.explode(F.array(*(F.struct(F.lit(f"phrase_{c}").alias("metric"), F.col(c).alias("value")) for c in levels.columns if c != "level"))).alias("m")).select("m.*"))
+    teta = E.evaluate_teta(gt, dt)
+    parts.append(teta.select(F.explode(F.array(*(F.struct(F.lit(c if c == "teta" else f"teta_{c}").alias("metric"), F.col(c).alias("value")) for c in teta.columns))).alias("m")).select("m.*"))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -89,12 +89,12 @@ def polygon_area(spark, d):
     return view(spark, d, "gt_boxes").select("ann_id", triangle.alias("triangle"), square.alias("square"))
 
 
-@register("SELECT det_id, round(least(greatest(x / 640, 0.0), 1.0), 6) AS rx, round(least(greatest(h / 480, 0.0), 1.0), 6) AS rh, least(greatest(x, 0.0), 640.0) AS px, least(greatest(y + h, 0.0), 480.0) AS py1 FROM dt_boxes")
+@register("SELECT det_id, round(least(greatest(x / 640, 0.0), 1.0), 9) AS rx, round(least(greatest(h / 480, 0.0), 1.0), 9) AS rh, least(greatest(x, 0.0), 640.0) AS px, least(greatest(y + h, 0.0), 480.0) AS py1 FROM dt_boxes")
 def normalize_boxes(spark, d):
     b = B.box()
     n = B.normalize(b, F.lit(640.0), F.lit(480.0))
     p = B.scale_to_image(tuple(v / s for v, s in zip(b, (640.0, 480.0, 640.0, 480.0), strict=True)), F.lit(640.0), F.lit(480.0))
-    return _rounded(view(spark, d, "dt_boxes").select("det_id", n[0].alias("rx"), n[3].alias("rh"), F.round(p[0], 6).alias("px"), F.round(p[3], 6).alias("py1")), "rx", "rh")
+    return view(spark, d, "dt_boxes").select("det_id", F.round(n[0], 9).alias("rx"), F.round(n[3], 9).alias("rh"), F.round(p[0], 6).alias("px"), F.round(p[3], 6).alias("py1"))
 
 
 @register("""SELECT ann_id, least(greatest(x - 40, 0.0), 200.0) AS cropped, 640 - x - w AS flipped, x + 7 AS padded, least(greatest(round(x + w / 2 - w * 0.75, 6), 0.0), 640.0) AS grown,

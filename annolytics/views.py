@@ -34,6 +34,10 @@ VIEWS = {
   FROM gt_boxes b CROSS JOIN (VALUES (0),(1),(2),(3),(4),(5),(6),(7),(8),(9)) AS c(i)""",
     "dt_runs": """SELECT b.image_id, b.det_id AS ann_id, CAST(b.x AS BIGINT) + c.i AS col, CAST(b.y AS BIGINT) AS row_start, CAST(b.h AS BIGINT) AS run_len
   FROM dt_boxes b CROSS JOIN (VALUES (0),(1),(2),(3),(4),(5),(6),(7),(8),(9)) AS c(i)""",
+    "gt_track_runs": """SELECT t.video_id, t.category_id, t.track_id, t.frame_idx, CAST(t.x AS BIGINT) + c.i AS col, CAST(t.y AS BIGINT) AS row_start, CAST(t.h AS BIGINT) AS run_len
+  FROM gt_tracks t CROSS JOIN (VALUES (0),(7),(14)) AS c(i)""",
+    "dt_track_runs": """SELECT t.video_id, t.category_id, t.track_id, t.frame_idx, t.score, CAST(t.x AS BIGINT) + c.i AS col, CAST(t.y AS BIGINT) + t.frame_idx AS row_start, CAST(t.h AS BIGINT) AS run_len
+  FROM dt_tracks t CROSS JOIN (VALUES (0),(7),(14)) AS c(i)""",
     "np": "SELECT *, CASE WHEN is_urgent = 1 THEN 0 ELSE 1 END AS is_exhaustive FROM (SELECT o_orderkey AS image_id, CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS is_urgent, o_custkey FROM {orders})",
     "dp_objects": """SELECT g.image_id AS datapoint_id, g.ann_id AS object_id, CAST(g.ann_id % 2 AS INT) AS frame, g.x, g.y, CASE WHEN g.ann_id % 23 = 0 THEN 0.0 ELSE g.w END AS w, g.h,
   CASE WHEN g.ann_id % 29 = 0 THEN 0.0 ELSE g.w * g.h END AS area, g.iscrowd FROM gt_boxes g""",
