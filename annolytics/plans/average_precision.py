@@ -19,6 +19,8 @@ TRACK_AREAS = {"all": (0.0, 1e10), "small": (0.0, 128.0**2), "medium": (128.0**2
 RECALL_POINTS = 100
 #: Score steps within which detections are counted first, so that no category is one task's.
 SCORE_STEPS = 1024
+#: Rows of a step that one task counts.
+STEP_ROWS = 100_000
 
 
 def box_pairs(gt: DataFrame, dt: DataFrame, *keys: str) -> DataFrame:
@@ -54,19 +56,32 @@ def ap_matches(gt: DataFrame, dt: DataFrame, pairs: DataFrame, keys: Sequence[st
     return all_dt.select(*keys, "det_id", "score", "area_range", "threshold", tp.alias("is_tp"), fp.alias("is_fp")), ranged.select(*keys, "ann_id", "area_range", (~F.col("ignored")).alias("counted"))
 
 
-def precision_recall(rows: DataFrame, by: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+def precision_recall(rows: DataFrame, by: Sequence[str], order: Sequence[str | Column], step_rows: int = STEP_ROWS) -> DataFrame:
     """rows (by, score, is_tp, is_fp) with the running numbers tp and fp in falling score
-    (order breaks ties). Scores are counted by steps first; the running sum within a
-    step starts at the sum of the steps above."""
+    (order breaks ties). Scores are counted by steps first, and a step of more than
+    step_rows rows by cells of one score and a range of the first tie-breaking column, so
+    that equal scores spread too; the running sum within a cell starts at the sum of what
+    stands above it. The numbers are the same for every step_rows."""
     by = list(by)
-    rows = rows.withColumn("step", F.floor(F.col("score") * SCORE_STEPS))
-    above = Window.partitionBy(*by).orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, -1)
-    steps = rows.groupBy(*by, "step").agg(F.count_if("is_tp").alias("tps"), F.count_if("is_fp").alias("fps"))
-    steps = steps.select(*by, "step", *(F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"{c}_above") for c in ("tps", "fps")))
-    inside = Window.partitionBy(*by, "step").orderBy(F.desc("score"), *order).rowsBetween(Window.unboundedPreceding, 0)
+    tie = F.col(order[0]) if isinstance(order[0], str) else order[0]
+    rows = rows.withColumns({"step": F.floor(F.col("score") * SCORE_STEPS), "tie": tie.try_cast("double")})
+    flags = {"tps": F.count_if("is_tp"), "fps": F.count_if("is_fp")}
+
+    def above(w) -> list[Column]:
+        return [F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"{c}_above") for c in flags]
+
+    steps = rows.groupBy(*by, "step").agg(*(f.alias(c) for c, f in flags.items()), F.count("*").alias("n"), F.min("tie").alias("low"), F.max("tie").alias("high"))
+    steps = steps.select(*by, "step", *above(Window.partitionBy(*by).orderBy(F.desc("step"))), (F.col("n") > step_rows).alias("full"), "low", "high")
     rows = rows.join(steps, [*by, "step"])
-    tp, fp = (F.col(f"{c}_above") + F.sum(F.col(f).cast("long")).over(inside) for c, f in (("tps", "is_tp"), ("fps", "is_fp")))
-    return rows.withColumns({"tp": tp, "fp": fp}).drop("step", "tps_above", "fps_above")
+    part = F.floor(F.coalesce((F.col("tie") - F.col("low")) / (F.col("high") - F.col("low") + 1) * SCORE_STEPS, F.lit(-1.0)))
+    rows = rows.withColumns({"cell_score": F.when(F.col("full"), F.col("score")).otherwise(0.0), "cell": F.when(F.col("full"), part).otherwise(0)}).drop("low", "high", "tie")
+    keys = [*by, "step", "cell_score", "cell"]
+    cells = rows.filter("full").groupBy(*keys).agg(*(f.alias(c) for c, f in flags.items()))
+    cells = cells.select(*keys, *(c.alias(f"{n}_before") for n, c in zip(flags, above(Window.partitionBy(*by, "step").orderBy(F.desc("cell_score"), "cell")), strict=True)))
+    rows = rows.join(cells, keys, "left")
+    inside = Window.partitionBy(*keys).orderBy(F.desc("score"), *order).rowsBetween(Window.unboundedPreceding, 0)
+    tp, fp = (F.col(f"{c}_above") + F.coalesce(f"{c}_before", F.lit(0)) + F.sum(F.col(f).cast("long")).over(inside) for c, f in (("tps", "is_tp"), ("fps", "is_fp")))
+    return rows.withColumns({"tp": tp, "fp": fp}).drop("step", "full", "cell_score", "cell", *(f"{c}_{w}" for c in flags for w in ("above", "before")))
 
 
 def average_precision(matched: DataFrame, counted: DataFrame, by: Sequence[str], order: Sequence[str | Column] = ("image_id", "det_id"), points: int = RECALL_POINTS) -> DataFrame:

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from .operators import reshape as R
+from .shared import shared_folder
 from .sources import documents as D, metrics as W, text as X
 from .streaming import lifecycle as L, tables as V
 from .views import register, view
@@ -14,8 +15,7 @@ from .views import register, view
 
 def _folder(spark, name: str) -> str:
     """A new folder for files that a query writes and reads: where the session shares them."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/files/{uuid.uuid4().hex}/{name}"
+    return f"{shared_folder(spark)}/files/{uuid.uuid4().hex}/{name}"
 
 
 @register("SELECT det_id, CASE WHEN det_id % 5 <> 0 THEN x END AS x, 1.0 AS score FROM dt_boxes")
@@ -400,6 +400,16 @@ def track_lifecycle_stream(spark, d):
     return V.run_available(L.track_stream(stream, _RULES), path)
 
 
+@register()
+def track_lifecycle_events(spark, d):
+    """The same in event time, from files that split frames and mix their order."""
+    path = _folder(spark, "events")
+    rows = _life(spark, d).withColumn("ts", F.timestamp_seconds("frame_idx"))
+    rows.repartition(4).write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{path}/in")
+    return V.run_available(V.track_events(stream, _RULES, late="0 seconds"), path)
+
+
 @register("SELECT image_id AS video_id, category_id AS frame_idx, det_id, row_number() OVER (PARTITION BY image_id ORDER BY category_id, det_id) AS object_id FROM dt_boxes")
 def assign_object_ids(spark, d):
     dets = view(spark, d, "dt_boxes").select(F.col("image_id").alias("video_id"), F.col("category_id").alias("frame_idx"), "det_id", "score")

@@ -39,29 +39,53 @@ def assign_object_ids(dets: DataFrame, most: int = 0) -> DataFrame:
     return dets.groupBy("video_id").applyInPandas(whole, _IDS)
 
 
-def assign_object_ids_stream(dets: DataFrame, most: int = 0) -> DataFrame:
-    """The same on a stream; a video's state is its greatest id and its number of objects."""
+def _expire_later(held, part: pd.DataFrame, time: str, idle_ms: int) -> None:
+    """A key's state goes once the watermark is idle_ms past its last row."""
+    last = int(part[time].max().timestamp() * 1000)
+    held.setTimeoutTimestamp(max(last + idle_ms, held.getCurrentWatermarkMs() + 1))
+
+
+def _ms(span: str) -> int:
+    return int(pd.Timedelta(span).total_seconds() * 1000)
+
+
+def assign_object_ids_stream(dets: DataFrame, most: int = 0, time: str | None = None, late: str = "1 hour", idle: str = "1 day") -> DataFrame:
+    """The same on a stream; a video's state is its greatest id and its number of objects. With
+    a column `time` the state of a video without detections for `idle` goes, and a later
+    one of that video begins at 1 again; without it, state is kept for ever."""
 
     def batch(key: tuple, parts: Iterator[pd.DataFrame], held) -> Iterator[pd.DataFrame]:
+        if held.hasTimedOut:
+            held.remove()
+            return
         top, alive = held.get if held.exists else (0, 0)
-        top, alive, rows = _assign(top, alive, most, pd.concat(list(parts), ignore_index=True))
+        part = pd.concat(list(parts), ignore_index=True)
+        top, alive, rows = _assign(top, alive, most, part)
         held.update((top, alive))
+        if time:
+            _expire_later(held, part, time, idle_ms)
         yield _frame(int(key[0]), rows)
 
-    return dets.groupBy("video_id").applyInPandasWithState(batch, _IDS, "top long, alive long", "append", "NoTimeout")
+    idle_ms = _ms(idle)
+    timed = dets.withWatermark(time, late) if time else dets
+    return timed.groupBy("video_id").applyInPandasWithState(batch, _IDS, "top long, alive long", "append", "EventTimeTimeout" if time else "NoTimeout")
 
 
-def stream_dedup(predictions: DataFrame, time: str = "ts", late: str = "1 hour") -> DataFrame:
+def stream_dedup(predictions: DataFrame, time: str = "ts", late: str = "1 hour", idle: str = "1 day") -> DataFrame:
     """Of a stream of predictions (video_id, category_id, track_id, shard, ts) for each video and
     category the rows of the first shard that brought it (the least of one batch), and of
-    these each track once within the watermark."""
-    schema = predictions.schema
+    these each track once within the watermark. What a video and category have chosen is
+    forgotten once no row has come for `idle`."""
+    schema, idle_ms = predictions.schema, _ms(idle)
 
     def batch(key: tuple, parts: Iterator[pd.DataFrame], held) -> Iterator[pd.DataFrame]:
+        if held.hasTimedOut:
+            held.remove()
+            return
         part = pd.concat(list(parts), ignore_index=True)
         shard = held.get[0] if held.exists else int(part["shard"].min())
-        if not held.exists:
-            held.update((shard,))
+        held.update((shard,))
+        _expire_later(held, part, time, idle_ms)
         yield part[part["shard"] == shard]
 
     chosen = predictions.dropDuplicates(["video_id", "category_id", "track_id", "shard"]) if not predictions.isStreaming else predictions
@@ -69,7 +93,7 @@ def stream_dedup(predictions: DataFrame, time: str = "ts", late: str = "1 hour")
         first = chosen.groupBy("video_id", "category_id").agg(F.min("shard").alias("shard"))
         return chosen.join(first, ["video_id", "category_id", "shard"], "left_semi").select(*predictions.columns)
     once = predictions.withWatermark(time, late).dropDuplicatesWithinWatermark(["video_id", "category_id", "track_id", "shard"])
-    return once.groupBy("video_id", "category_id").applyInPandasWithState(batch, schema, "shard long", "append", "NoTimeout")
+    return once.groupBy("video_id", "category_id").applyInPandasWithState(batch, schema, "shard long", "append", "EventTimeTimeout")
 
 
 def streaming_meter(values: DataFrame, *by: str) -> DataFrame:
