@@ -47,6 +47,12 @@ def availability(tables: dict[str, DataFrame], available: DataFrame, key: str) -
     return out
 
 
+def available_tables(tables: dict[str, DataFrame], available: DataFrame, key: str) -> dict[str, DataFrame]:
+    """The tables without the rows whose key is not available, all columns as they are."""
+    keys = available.select(key).distinct()
+    return {name: df.join(keys, key, "left_semi").select(*df.columns) for name, df in tables.items()}
+
+
 def nearest_frames(targets: DataFrame, references: DataFrame, k: int, keep_first: bool = False) -> DataFrame:
     """For each target (video_id, frame_idx) up to k reference frames of its video: the
     latest before it, the earliest not before it, then the closest (ties: the earlier).

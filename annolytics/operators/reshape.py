@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.boxes import box, intersection, iou
+from ..shared import settled
 from .matching import optimal_match
 
+#: Rows of a table that may go to every executor.
+SMALL_TABLE = 10_000
+
 
 def _raise_unless(bad: DataFrame, message: str) -> None:
     first = bad.first()
@@ -55,7 +59,7 @@ def numbers(rows: DataFrame, *keys: str, parts: int = 256) -> DataFrame:
     distinct = rows.select(*keys).distinct()
     ranged = distinct.repartitionByRange(parts, *keys).withColumn("part", F.spark_partition_id())
     own = ranged.withColumn("own", F.row_number().over(Window.partitionBy("part").orderBy(*keys)))
-    own = own.persist()  # range ends are drawn from a sample, so that the parts must not be made twice
+    own = settled(own)  # range ends are drawn from a sample, so that the parts must not be made twice
     sizes = own.groupBy("part").agg(F.count("*").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).select("part", "base")
@@ -215,7 +219,7 @@ def pad_track_frames(rows: DataFrame, n_frames: int) -> DataFrame:
 def build_queries(images: DataFrame, annotations: DataFrame, categories: DataFrame, include_negatives: bool = True, chunk_size: int | None = None, prompts: DataFrame | None = None) -> DataFrame:
     """A row for each image and category: datapoint_id (image index times the number of
     chunks, plus the category's chunk), text, object ids and boxes over the image size.
-    Categories are a small table; prompts (category_id, prompt) stand in for names, and
+    Categories are broadcast up to SMALL_TABLE of them; prompts (category_id, prompt) stand in for names, and
     must be one for each category. Without include_negatives empty cells go."""
     cats = categories.withColumn("place", F.row_number().over(Window.orderBy("category_id")) - 1)
     n = cats.count()
@@ -225,7 +229,7 @@ def build_queries(images: DataFrame, annotations: DataFrame, categories: DataFra
         cats = cats.join(prompts, "category_id").withColumn("name", F.col("prompt")).drop("prompt")
     size = chunk_size or max(1, n)
     cats = cats.withColumn("chunk", F.floor(F.col("place") / size))
-    cells = images.join(numbers(images, "image_id"), "image_id").withColumn("index", F.col("number") - 1).join(F.broadcast(cats))
+    cells = images.join(numbers(images, "image_id"), "image_id").withColumn("index", F.col("number") - 1).join(F.broadcast(cats) if n <= SMALL_TABLE else cats)
     u = F.col("width"), F.col("height")
     rel = [F.least(F.greatest(F.col(c) / side, F.lit(0.0)), F.lit(1.0)) for c, side in zip("xywh", (*u, *u), strict=True)]
     anns = annotations.join(images.select("image_id", "width", "height"), "image_id").select("image_id", "category_id", "ann_id", F.struct("ann_id", *(r.alias(c) for r, c in zip(rel, "xywh", strict=True))).alias("object"))

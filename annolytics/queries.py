@@ -192,6 +192,17 @@ def availability_filter(spark, d):
     return C.availability({n: view(spark, d, n) for n in ("image_np", "gt_boxes")}, view(spark, d, "dt_boxes"), "image_id")
 
 
+_KEPT = "SELECT '{0}' AS table_name, image_id, {1} AS row_id FROM {0} WHERE image_id IN (SELECT image_id FROM dt_boxes WHERE score >= 0.5)"
+
+
+@register(f"{_KEPT.format('image_np', 'phrase_id')} UNION ALL {_KEPT.format('gt_boxes', 'ann_id')}")
+def available_tables(spark, d):
+    """Images and annotations of the images that have a sure prediction."""
+    kept = C.available_tables({n: view(spark, d, n) for n in ("image_np", "gt_boxes")}, view(spark, d, "dt_boxes").filter("score >= 0.5"), "image_id")
+    rows = [kept[n].select(F.lit(n).alias("table_name"), "image_id", F.col(c).alias("row_id")) for n, c in (("image_np", "phrase_id"), ("gt_boxes", "ann_id"))]
+    return rows[0].unionByName(rows[1])
+
+
 @register("""SELECT video_id, frame_idx, ref_frame, rank FROM (SELECT *, row_number() OVER (PARTITION BY video_id, frame_idx ORDER BY later, distance, ref_frame) AS rank FROM (
   SELECT *, CASE WHEN row_number() OVER (PARTITION BY video_id, frame_idx, ref_frame < frame_idx ORDER BY distance) > 1 THEN 1 ELSE 0 END AS later FROM (
   SELECT video_id, frame_idx, ref_frame, abs(frame_idx - ref_frame) AS distance FROM (SELECT DISTINCT video_id, frame_idx FROM gt_tracks)

@@ -333,3 +333,10 @@ def evaluate_video_suite(spark, d):
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
+
+
+@register("SELECT video_id, track_id, frame_idx FROM gt_tracks WHERE video_id NOT IN (SELECT video_id FROM gt_tracks WHERE track_id % 7 = 0)")
+def tagged_only(spark, d):
+    """Videos all of whose tracks are tagged hard: those without a track number that 7 divides."""
+    gt = view(spark, d, "gt_tracks").withColumn("tags", F.when(F.col("track_id") % 7 == 0, F.array(F.lit("easy"))).otherwise(F.array(F.lit("easy"), F.lit("hard"))))
+    return H.tagged_only(gt, "hard").select("video_id", "track_id", "frame_idx")

@@ -290,6 +290,62 @@ def read_coco(spark, d):
     return images.select("image_id").join(annotations.drop("dataset"), "image_id", "left").groupBy("image_id").agg(F.count("ann_id").alias("n"), F.round(F.sum(F.col("w") * F.col("h")), 3).alias("area"))
 
 
+@register("SELECT image_id, count(g.ann_id) AS n, round(sum(g.w * g.h), 3) AS area FROM (SELECT DISTINCT image_id FROM image_np) LEFT JOIN gt_boxes g USING (image_id) GROUP BY image_id")
+def read_coco_large(spark, d):
+    """The same by byte ranges."""
+    path = _folder(spark, "coco")
+    _documents(spark, d, path)
+    images, annotations, _ = D.read_coco(spark, path, large=True)
+    return images.select("image_id").join(annotations.drop("dataset"), "image_id", "left").groupBy("image_id").agg(F.count("ann_id").alias("n"), F.round(F.sum(F.col("w") * F.col("h")), 3).alias("area"))
+
+
+@register("SELECT 'images' AS kind, count(*) AS n FROM (SELECT DISTINCT image_id FROM image_np) UNION ALL SELECT 'annotations', count(*) FROM gt_boxes UNION ALL SELECT 'categories', count(DISTINCT image_id % 10) * 4 FROM image_np")
+def read_annotation_collection(spark, d):
+    """Two folders of documents as one collection: even and odd parts of the boxes' documents."""
+    path = _folder(spark, "collection")
+    _documents(spark, d, f"{path}/all")
+    docs = spark.read.text(f"{path}/all").withColumn("part", F.monotonically_increasing_id() % 2)
+    for part in (0, 1):
+        docs.filter(F.col("part") == part).select("value").write.option("maxRecordsPerFile", 1).text(f"{path}/{part}")
+    found = D.read_annotation_collection(spark, [f"{path}/0", f"{path}/1"])
+    counts = [df.agg(F.count("*").alias("n")).select(F.lit(k).alias("kind"), "n") for k, df in found.items()]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+def _video_documents(spark, d, path):
+    """The tracks written as a document for each of ten parts of the videos."""
+    frames = view(spark, d, "gt_tracks").groupBy("video_id", "category_id", "track_id").agg(F.map_from_entries(F.collect_list(F.struct("frame_idx", F.array(*"xywh")))).alias("at"))
+    boxes = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.try_element_at("at", i))
+    annotation = F.struct(F.col("track_id").alias("id"), "video_id", "category_id", F.format_string("c%d", "category_id").alias("noun_phrase"), boxes.alias("bboxes"), F.transform(boxes, lambda b: b[2] * b[3]).alias("areas"), F.lit(0).alias("iscrowd"))
+    part = (F.col("video_id") % 10).alias("part")
+    video = F.struct(F.col("video_id").alias("id"), F.format_string("v%d", "video_id").alias("video_name"), F.lit(8).alias("length"))
+    pair = F.struct((F.col("video_id") * 10 + F.col("category_id")).alias("id"), "video_id", "category_id", F.format_string("c%d", "category_id").alias("noun_phrase"), F.col("n").cast("int").alias("num_masklets"))
+    pairs = frames.groupBy("video_id", "category_id").agg(F.count("*").alias("n"))
+    docs = frames.groupBy(part).agg(F.collect_set(video).alias("videos"), F.collect_list(annotation).alias("annotations")).join(pairs.groupBy(part).agg(F.collect_list(pair).alias("video_np_pairs")), "part")
+    cats = F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: F.struct(i.alias("id"), F.format_string("c%d", i).alias("name")))
+    docs.withColumn("categories", cats).drop("part").repartition(10).write.option("maxRecordsPerFile", 1).json(path)
+
+
+@register("SELECT video_id, category_id, count(DISTINCT track_id) AS n_masklets, count(*) AS n_boxes, round(sum(w * h), 3) AS area FROM gt_tracks GROUP BY ALL")
+def read_video_annotations(spark, d):
+    path = _folder(spark, "videos")
+    _video_documents(spark, d, path)
+    _, annotations, _, pairs = D.read_video_annotations(spark, path)
+    there = annotations.select("video_id", "category_id", F.explode(F.filter("boxes", lambda b: b.isNotNull())).alias("b"))
+    boxes = there.groupBy("video_id", "category_id").agg(F.count("*").alias("n_boxes"), F.round(F.sum(F.col("b.w") * F.col("b.h")), 3).alias("area"))
+    return pairs.select("video_id", "category_id", F.col("num_masklets").cast("long").alias("n_masklets")).join(boxes, ["video_id", "category_id"])
+
+
+@register("SELECT i.image_id, CAST(t.threshold AS DOUBLE) AS threshold, coalesce(n.n_gt, 0) AS n_gt FROM (SELECT DISTINCT image_id FROM image_np) i CROSS JOIN (VALUES (0.5), (0.75)) AS t(threshold) LEFT JOIN (SELECT image_id, count(*) AS n_gt FROM gt_boxes WHERE iscrowd = 0 GROUP BY image_id) n USING (image_id)")
+def write_image_metrics(spark, d):
+    """Image rows with their number of objects, written and read back."""
+    path = _folder(spark, "image_metrics")
+    n = view(spark, d, "gt_boxes").filter("iscrowd = 0").groupBy("image_id").agg(F.count("*").alias("n_gt"))
+    rows = view(spark, d, "image_np").select("image_id").distinct().join(n, "image_id", "left").na.fill(0)
+    W.write_image_metrics(rows.withColumn("threshold", F.explode(F.array(F.lit(0.5), F.lit(0.75)))), path)
+    return spark.read.schema("image_id long, threshold double, n_gt long").json(path)
+
+
 @register("SELECT image_id, concat('thing ', CAST(min(phrase_id) % 7 AS STRING)) AS phrase, CAST(min(phrase_id) % 7 AS INT) AS category_id FROM image_np GROUP BY image_id")
 def read_image_phrases(spark, d):
     path = _folder(spark, "phrases")

@@ -60,7 +60,7 @@ def detailed_rows(by_sequence: DataFrame, fields: Sequence[str]) -> DataFrame:
 
 
 def write_detailed(by_sequence: DataFrame, path: str, fields: Sequence[str]) -> None:
-    detailed_rows(by_sequence, fields).coalesce(1).write.csv(path, header=True)
+    detailed_rows(by_sequence, fields).write.csv(path, header=True)  # files in order, each with the header
 
 
 def read_detailed(spark: SparkSession, path: str) -> DataFrame:
