@@ -2,7 +2,8 @@
 and commas to their ancestors, discounted by link density and by names that tell of things
 beside the article; the best container and the siblings that belong to it are kept. An
 element beside the article is left out only if it holds no article, main element or first
-heading and less than half of the page's paragraph points."""
+heading and less than half of the page's paragraph points. Reader comments are left out
+whatever their length, and so is what is hidden, and articles beside or within the one kept."""
 
 from __future__ import annotations
 
@@ -22,6 +23,12 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 SELF_CLOSING = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 ENDS_PARAGRAPH = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol pre section table ul".split())
 SIDE_WORDS = frozenset("ad ads advert adverts advertisement sponsor sponsored promo banner sidebar side comment comments disqus replies cookie cookies consent notice notices alert popup modal menu nav navbar navigation breadcrumb breadcrumbs footer header masthead share sharing social related recommended newsletter subscribe signup widget pagination pager".split())
+#: Beginnings of the words that name reader comments, and words of a name that tells of a state
+#: of the page instead (no-comments).
+TALK, STATES = ("comment", "disqus", "respond", "repl", "discussion", "reaction"), frozenset("no has with without enable enabled disable disabled open closed on off".split())
+#: Names of places for advertising that are one word.
+SLOT = re.compile(r"ad(slot|unit|box|space|zone|container|wrapper|banner|block)s?")
+HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 #: Blocks of running text: within an article a name of several words, such as share-price, does
 #: not make them something beside it.
 RUNNING_TEXT = frozenset("p blockquote pre h1 h2 h3 h4 h5 h6 figcaption td li dd".split())
@@ -41,10 +48,10 @@ SIDE_FACTOR = 0.25
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "unseen", "side", "factor", "points", "chars", "link_chars")
+    __slots__ = ("tag", "parent", "children", "unseen", "side", "talk", "factor", "points", "chars", "link_chars")
 
-    def __init__(self, tag: str, parent: Node | None, unseen: bool = False, side: bool = False):
-        self.tag, self.parent, self.unseen, self.side, self.factor = tag, parent, unseen, side, 1.0
+    def __init__(self, tag: str, parent: Node | None, unseen: bool = False, side: bool = False, talk: bool = False):
+        self.tag, self.parent, self.unseen, self.side, self.talk, self.factor = tag, parent, unseen, side, talk, 1.0
         self.children: list[Node | str] = []
         self.points, self.chars, self.link_chars = 0.0, 0, 0
 
@@ -61,11 +68,29 @@ def is_side(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) ->
             return True
         if name in ("class", "id") and value:
             text = in_article and tag in RUNNING_TEXT
-            if any(w in SIDE_WORDS for w in (value.lower().split() if text else re.split(r"[^a-z]+", value.lower()))):
+            if any(w in SIDE_WORDS or SLOT.fullmatch(w) for w in (value.lower().split() if text else re.split(r"[^a-z]+", value.lower()))):
                 return True
     return False
 
 
+def is_talk(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    """Whether the names of an element tell of reader comments."""
+    if tag in ("html", "body", "main") or tag in INLINE:
+        return False
+    for name, value in attrs:
+        if name in ("class", "id") and value:
+            for token in value.lower().split():
+                words = re.split(r"[^a-z]+", token)
+                if any(w.startswith(TALK) for w in words) and not STATES & set(words):
+                    return True
+    return False
+
+
+def is_hidden(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    """Whether no reader sees an element; a whole page is hidden only until it has loaded."""
+    return tag not in ("html", "body") and any(n == "hidden" or (n == "style" and HIDDEN.search((v or "").lower())) for n, v in attrs)
+
+
 class TreeBuilder(HTMLParser):
     """A tree of the page; what no reader sees is not built."""
 
@@ -95,7 +120,8 @@ class TreeBuilder(HTMLParser):
         if tag == "a":
             self.links.extend(value or "" for name, value in attrs if name == "href")
         side = not self.keep_side and is_side(tag, attrs, self.open["article"] + self.open["main"] > 0)
-        node = Node(tag, self.now, tag in UNSEEN or self.now.unseen, side)
+        unseen = tag in UNSEEN or self.now.unseen or is_hidden(tag, attrs)
+        node = Node(tag, self.now, unseen, side, not self.keep_side and is_talk(tag, attrs))
         if not node.unseen or tag == "br":
             self.now.children.append(node)
         if tag not in VOID:
@@ -120,9 +146,22 @@ class TreeBuilder(HTMLParser):
             self.now.children.append(data)
 
 
+def without_open_comment(html: str) -> str:
+    """A comment that never ends runs to the end of the page; its sign within a script, style or
+    the like is none."""
+    start = html.rfind("<!--")
+    if start < 0 or html.find("-->", start) >= 0:
+        return html
+    before = html[:start].lower()
+    for tag in ("script", "style", "textarea", "title", "xmp"):
+        if before.rfind(f"<{tag}") > before.rfind(f"</{tag}"):
+            return html
+    return html[:start]
+
+
 def parse(html: str, keep_side: bool = False) -> Node:
     builder = TreeBuilder(keep_side)
-    builder.feed(html)
+    builder.feed(without_open_comment(html))
     builder.close()
     return builder.root
 
@@ -176,7 +215,7 @@ def drop_side(root: Node) -> None:
     """Take out what stands beside the article, and give the rest of it SIDE_FACTOR. Link
     text has no weight here; in a page without paragraphs characters count."""
     nodes = in_order(root)
-    if not any(x.side for x in nodes):
+    if not any(x.side or x.talk for x in nodes):
         return
     linked: set[Node] = set()
     weight: dict[Node, list[float]] = {}
@@ -192,12 +231,18 @@ def drop_side(root: Node) -> None:
                 elif c.tag in INLINE and c.tag != "a":
                     stack.extend(reversed(c.children))
         text = "".join(own).strip()
-        weight[x] = [paragraph_points(text), len(text), x.tag in NAMED_POINTS, x.tag == "h1"]
+        weight[x] = [paragraph_points(text), len(text), x.tag in NAMED_POINTS and not x.talk, x.tag == "h1"]
     for x in reversed(nodes):
         if x.parent is not None:
             weight[x.parent] = [a + b for a, b in zip(weight[x.parent], weight[x], strict=True)]
     unit = 0 if weight[root][0] else 1
     whole = weight[root][unit]
+    # an article of half of the points is no comment, nor is what it stands in
+    first = max((x for x in nodes if x.tag in NAMED_POINTS and not x.talk), key=lambda x: weight[x][unit], default=None)
+    around: set[Node] = set()
+    while first is not None and 2 * weight[first][unit] >= whole and first not in around:
+        around.add(first)
+        first = first.parent or first
     gone: set[Node] = set()
     past_named: set[Node] = set()  # where an article of its own has the factor too
     for x in nodes:
@@ -205,6 +250,9 @@ def drop_side(root: Node) -> None:
         if up in gone:
             gone.add(x)
             continue
+        if x.talk and x not in around and not weight[x][3] and weight[x][unit] < whole:
+            gone.add(x)
+            continue
         if up in past_named:
             past_named.add(x)
         if up is not None and up.factor < 1 and (x.tag not in NAMED_POINTS or up in past_named):
@@ -268,12 +316,19 @@ def main_text(html: str | None) -> str:
     best = max(nodes, key=lambda x: x.points)
     if best.points <= 0:  # no paragraph: what is left, unless it is links for the most part
         return " ".join(blocks_of([root])) if 2 * root.link_chars < root.chars else ""
-    up = best
+    up, path = best, {best}
     while up is not None:  # an article is kept with its heading
+        path.add(up)
         if up.tag in NAMED_POINTS:
             best = up
             break
         up = up.parent
+    # an article within it or beside it, alone or in a block of such, is another one
+    others = {x for x in nodes if x.tag == "article" and x not in path}
+    if best.tag in NAMED_POINTS:
+        for x in others:
+            if x.parent is not None:
+                x.parent.children = [c for c in x.parent.children if c is not x]
     if best.parent is None:
         return " ".join(blocks_of([best]))
     kept = []
@@ -291,7 +346,7 @@ def page_parts(html: str) -> tuple[str | None, list[str], str]:
     """Title (null if there is none), targets of the links in page order, and all text that a
     reader of the page could see, a line for each block."""
     builder = TreeBuilder(keep_side=True)
-    builder.feed(html)
+    builder.feed(without_open_comment(html))
     builder.close()
     title = " ".join("".join(builder.title).split())
     return title or None, builder.links, "\n".join(blocks_of([builder.root]))
