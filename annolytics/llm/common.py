@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -18,9 +20,12 @@ SLICES, HOT_ROWS = 8, 1000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where it is unset, as in tests, one of our own."""
+    """The folder of spark.checkpoint.dir; where it is unset, as in tests, one of our own (on a
+    cluster an error)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -44,6 +49,21 @@ def discard(table: DataFrame) -> None:
     path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def shielded(*own: str) -> Callable:
+    """For operators that return rows of their first table: its columns that are not among `own`,
+    which the operator reads, pass through under names that nothing within it has."""
+
+    def wrap(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @wraps(operator)
+        def outer(docs: DataFrame, *more, **how) -> DataFrame:
+            names = {c: f"passed_through_{i}" for i, c in enumerate(docs.columns) if c not in own}
+            return operator(docs.withColumnsRenamed(names), *more, **how).withColumnsRenamed({v: k for k, v in names.items()})
+
+        return outer
+
+    return wrap
+
+
 def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
 

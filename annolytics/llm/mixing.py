@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import settle
+from .common import settle, shielded
 
 BLOCK = 128
 SHARD_SLOTS = 65_536
@@ -158,11 +158,14 @@ def mix_sizes(docs: DataFrame, block: int = BLOCK, **how) -> DataFrame:
     return got.unionByName(none).join(few(sources.select("source_id", "source_size", "target")), "source_id").select("doc_id", "size", "source_size", "target", "taken")
 
 
+@shielded("doc_id", "text", "source", "n_chars")
 def mix_documents(docs: DataFrame, block: int = BLOCK, **how) -> DataFrame:
-    """The mixed corpus: rows with the columns of docs, in which text (and n_chars, where
+    """The mixed corpus: rows with the columns of docs, whatever their names, in which text (and n_chars, where
     there is one) is a run of words that one pass takes of a document; a document taken
     whole keeps its text as it is, others have their words joined by one space. Documents
-    without words are in no block and so not in the mix.
+    without words, null texts among them, are in no block and so not in the mix. A null
+    source is a source; repeated rows are documents of their own; an empty table gives an
+    empty mix.
     """
     given = docs.columns
     docs = docs.withColumn("doc_key", F.xxhash64(*(c for c in given if c != "doc_id")))

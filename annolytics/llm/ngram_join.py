@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import connected_components, discard, settle, small_batches
+from .common import connected_components, discard, settle, small_batches, shielded
 from .text_arrays import byte_runs, mix, shingle_sets
 
 WIDTH, PERCENT = 5, 80
@@ -425,9 +425,11 @@ def ngram_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
     return base.join(named, "fp", "left").select("doc_id", "doc_key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("doc_id")).alias("component_id"), "component_key")
 
 
+@shielded("doc_id", "text")
 def one_of_each(docs: DataFrame, **how: int) -> DataFrame:
-    """The rows of docs without near copies: of each component the text of smallest
-    doc_id (null is the greatest) stays, once. Texts without words all stay."""
+    """The rows of docs, all columns whatever their names, without near copies: of each component
+    the text of smallest doc_id (null is the greatest) stays, once. Null texts and those
+    without words all stay; an empty table stays empty."""
     found = ngram_components(docs, **how).filter("n_shingles > 0")
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("of_id"), F.col("doc_key").alias("of_key"))
     best = found.groupBy("component_key").agg(F.min(place).alias("best")).select("best.of_id", "best.of_key")

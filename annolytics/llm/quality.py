@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import settle, small_batches
+from .common import settle, small_batches, shielded
 from .text_arrays import byte_runs, words
 
 FIT_ROWS, ROUNDS = 20_000, 4
@@ -323,7 +323,8 @@ def _typed(docs: DataFrame) -> DataFrame:
 
 
 def score_quality(docs: DataFrame, model: CoTrained, given: list[str] | None = None) -> DataFrame:
-    """docs' columns `given` (doc_id, if none are named), and text_score, meta_score, score, keep."""
+    """docs' columns `given` (doc_id, if none are named), and text_score, meta_score, score, keep,
+    which `given` must not name. Nulls, repeated rows and empty tables as in classify_quality."""
     small_batches(docs.sparkSession)
     given = given or ["doc_id"]
     own = [F.col(c).alias(f"given_{i}") for i, c in enumerate(given)]
@@ -342,6 +343,12 @@ def score_quality(docs: DataFrame, model: CoTrained, given: list[str] | None = N
     return out.select(*(F.col(f"given_{i}").alias(c) for i, c in enumerate(given)), "text_score", "meta_score", "score", "keep")
 
 
+@shielded("doc_id", "text", "lang", "source", "n_chars")
+def good_documents(docs: DataFrame, labels: DataFrame, **how: int) -> DataFrame:
+    """The rows of docs, all columns whatever their names, that classify_quality would keep."""
+    return score_quality(docs, train_quality(docs, labels, **how), docs.columns).filter("keep").select(*docs.columns)
+
+
 def classify_quality(docs: DataFrame, labels: DataFrame, **how: int) -> DataFrame:
     """Score all documents after co-training on the labelled ones.
 

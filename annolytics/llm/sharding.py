@@ -61,6 +61,7 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
     """Write all columns of docs under path, one folder `shard=k` for each shard; hot
-    shards are spread over several files."""
-    placed = docs.withColumn("shard", shard_of(F.col("doc_id").cast("long"), shards))
+    shards are spread over several files. A column `shard` of docs is written as
+    `given_shard`; null ids and texts are values, and an empty table writes no row."""
+    placed = docs.withColumnRenamed("shard", "given_shard").withColumn("shard", shard_of(F.col("doc_id").cast("long"), shards))
     placed.repartition("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(16))).write.partitionBy("shard").parquet(path)

@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import join_skewed, settle, small_batches
+from .common import join_skewed, settle, small_batches, shielded
 from .text_arrays import byte_runs, mix
 
 LENGTH = 400
@@ -325,9 +325,11 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, **how: int) -> DataFrame
     return joined.select("doc_id", "text", "spans").mapInArrow(lambda it: keep_rest(it, length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")
 
 
+@shielded("doc_id", "text", "n_chars")
 def without_repeats(docs: DataFrame, length: int = LENGTH, **how: int) -> DataFrame:
-    """The rows of docs, all columns, with the repeated bytes of their texts removed
-    (n_chars, where there is one, is counted anew)."""
+    """The rows of docs, all columns whatever their names, with the repeated bytes of their texts
+    removed (n_chars, where there is one, is counted anew). Null texts stay null; repeated rows
+    all stay and lose what they share; an empty table stays empty."""
     given = docs.columns
     keyed = docs.withColumns({"own_id": F.col("doc_id").cast("long"), "own_key": F.xxhash64(F.col("doc_id").cast("long"), "text")})
     windows = repeated_windows(keyed.select(F.col("own_id").alias("doc_id"), F.col("own_key").alias("doc_key"), "text"), length, **how).distinct()
