@@ -71,3 +71,14 @@ def test_packing_holds_every_document(tables):
     docs, packed = tables["packing"]
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 2048").count() == 0
     assert packed.filter("piece = 0").count() == docs.count()
+
+
+def test_run_is_the_stages_in_turn(tables, spark, sf_dir):
+    out, docs = P.run(spark, sf_dir), tables["packing"][1]
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert rows_of(out, *columns) == rows_of(docs, *columns) and out.count() > 20
+    # sequences are full of pieces, one after the other
+    placed = {}
+    for r in sorted(out.collect(), key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == placed.get(r.sequence_id, 0) and r.offset + r.length <= 2048
+        placed[r.sequence_id] = r.offset + r.length
