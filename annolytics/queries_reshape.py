@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .operators import reshape as R
 from .shared import shared_folder
 from .sources import documents as D, metrics as W, text as X
-from .streaming import lifecycle as L, tables as V
+from .streaming import events as T, lifecycle as L, tables as V
 from .views import register, view
 
 
@@ -463,7 +463,7 @@ def track_lifecycle_events(spark, d):
     rows = _life(spark, d).withColumn("ts", F.timestamp_seconds("frame_idx"))
     rows.repartition(4).write.parquet(f"{path}/in")
     stream = spark.readStream.schema(rows.schema).parquet(f"{path}/in")
-    return V.run_available(V.track_events(stream, _RULES, late="0 seconds"), path)
+    return V.run_available(T.track_events(stream, _RULES, late="0 seconds"), path)
 
 
 @register("SELECT image_id AS video_id, category_id AS frame_idx, det_id, row_number() OVER (PARTITION BY image_id ORDER BY category_id, det_id) AS object_id FROM dt_boxes")
