@@ -54,7 +54,8 @@ class TrackLife(StatefulProcessor):
         yield pd.DataFrame(columns=_NAMES)
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        passed = expiredTimerInfo.getExpiryTimeInMs()
+        # all frames that the watermark has passed at once, so that their own timers find nothing left
+        passed = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
         rows = list(self.pending.get()) if self.pending.exists() else []
         due, wait = [r for r in rows if r[0] <= passed], [r for r in rows if r[0] > passed]
         idle = self.latest.exists() and passed >= self.latest.get()[0] + self.idle
