@@ -152,48 +152,50 @@ def size_level(sizes: np.ndarray) -> np.ndarray:
 
 
 def packed_rows(values: np.ndarray, of: np.ndarray, buckets: int, named: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """One row for each bucket: its values (low 32 bits), the position of each one's set, and
-    of these sets what is in `named`."""
+    """One row for each bucket: its values (low 32 bits) by set, how many each set has, and of
+    these sets what is in `named`."""
     bucket = ((values >> np.uint64(40)) % np.uint64(buckets)).astype(np.int32)
     order = np.lexsort((of, bucket))
     values, of, bucket = values[order], of[order], bucket[order]
     cuts = [*np.flatnonzero(np.r_[True, np.diff(bucket) > 0]).tolist(), len(bucket)]
     rows = []
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        inside, place = np.unique(of[a:b], return_inverse=True)
-        place = place.astype(np.uint32 if len(inside) > 65535 else np.uint16)
-        rows.append((int(bucket[a]), values[a:b].astype(np.uint32).tobytes(), place.tobytes(), *(x[inside].tobytes() for x in named)))
-    names = ["bucket", "sigs", "places", *(f"named{i}" for i in range(len(named)))]
+        inside, counts = np.unique(of[a:b], return_counts=True)
+        counts = counts.astype(np.uint32 if counts.max() > 65535 else np.uint16)
+        rows.append((int(bucket[a]), values[a:b].astype(np.uint32).tobytes(), counts.tobytes(), *(x[inside].tobytes() for x in named)))
+    names = ["bucket", "sigs", "counts", *(f"named{i}" for i in range(len(named)))]
     if rows:
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int32() if i == 0 else pa.binary()) for i, x in enumerate(zip(*rows, strict=True))], names=names)
 
 
-_PACKED = "bucket int, sigs binary, places binary, named0 binary, named1 binary"
+_PACKED = "bucket int, sigs binary, counts binary, named0 binary, named1 binary"
 
 
 def whole_buckets(batches: Iterator[pa.RecordBatch], kinds: tuple[str, str]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """Rows sorted by bucket -> bucket, values, and for each value what is named of its set."""
     now, held = None, []
     for batch in batches:
-        for bucket, sigs, places, *named in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for bucket, sigs, counts, *named in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if bucket != now:
                 if held:
                     yield now, *(np.concatenate(x) for x in zip(*held, strict=True))
                 now, held = bucket, []
-            sig = np.frombuffer(sigs, np.uint32)
-            place = np.frombuffer(places, np.uint16 if len(places) == 2 * len(sig) else np.uint32)
-            held.append((sig, *(np.frombuffer(x, k)[place] for x, k in zip(named, kinds, strict=True))))
+            sets = [np.frombuffer(x, k) for x, k in zip(named, kinds, strict=True)]
+            count = np.frombuffer(counts, np.uint16 if len(counts) == 2 * len(sets[0]) else np.uint32)
+            held.append((np.frombuffer(sigs, np.uint32), *(np.repeat(x, count) for x in sets)))
     if held:
         yield now, *(np.concatenate(x) for x in zip(*held, strict=True))
 
 
 def pack_signatures(batches: Iterator[pa.RecordBatch], width: int, percent: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """text -> packed signatures with fingerprint and size level of their sets."""
-    bands = Bands(percent)
+    """text -> packed signatures with fingerprint and size level of their sets; of copies within
+    a task one."""
+    bands, seen = Bands(percent), set()
     for batch in batches:
         for _, _, data, offsets in byte_runs(batch.column(0)):
-            named = {fingerprint(s): s for s in shingle_sets(data, offsets, width) if len(s)}
+            named = {fp: s for s in shingle_sets(data, offsets, width) if len(s) and (fp := fingerprint(s)) not in seen}
             if named:
+                seen.update(named)
                 sets = list(named.values())
                 sig, of = signatures(sets, bands)
                 yield from packed_rows(sig, of, buckets, [np.array(list(named), np.int64), size_level(np.array([len(s) for s in sets]))])
@@ -283,7 +285,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     first = F.row_number().over(Window.partitionBy("a", "salt").orderBy("b")) == 1
     both = F.when(first, F.array("a", "b")).otherwise(F.array("b"))
     sends = pairs.select(F.col("a").alias("home"), "salt", both.alias("fps")).select("home", "salt", F.explode("fps").alias("fp"))
-    met = sends.join(sets.select("fp", "elements"), "fp").select("home", "salt", "fp", "elements")
+    # both sides grow with the documents, so neither is broadcast at any size
+    met = sends.join(sets.select("fp", "elements").hint("shuffle_merge"), "fp").select("home", "salt", "fp", "elements")
     met = met.repartition("home", "salt").sortWithinPartitions("home", "salt", F.col("fp") != F.col("home"), "fp")
     return met.mapInArrow(lambda it: verify(it, percent), "a long, b long")
 
