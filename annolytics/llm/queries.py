@@ -84,7 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_top_k": TOP_K_SQL}
+    return {"op2_top_k": TOP_K_SQL, "op4_embedding_dedup": EMBEDDING_DEDUP_SQL}
 
 
 TOP_K_SQL = """
@@ -97,3 +97,20 @@ WITH v AS (
 ), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+EMBEDDING_DEDUP_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, e, sqrt(list_inner_product(e, e)) AS norm FROM (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  ) WHERE len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.93
+), reached AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON r.other = l.a
+), lowest AS (SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id)
+SELECT w.vec_id, coalesce(n.n_links, 0) AS n_links, w.component_id, w.vec_id = w.component_id AS kept
+FROM lowest w LEFT JOIN (SELECT a, count(*) AS n_links FROM links GROUP BY a) n ON w.vec_id = n.a
+"""
