@@ -8,7 +8,8 @@ transform is built over many small collections on all executors and not once:
 1. Every window has a least `anchor`-byte gram by hash (a winnowing minimiser). Equal
    windows have equal ones. Runs of windows with one minimiser are the segments; a
    minimiser met once in the corpus ends here, and so do groups of equal segments,
-   which are wholly repeated.
+   which are wholly repeated. Those that meet in one batch of texts are settled there,
+   so that of a passage that many documents share a batch ships each segment once.
 2. The other segments are cut, at fixed distances from the minimiser, into pieces of
    `STEP` windows at most. The bytes that all windows of a piece share (its core)
    become one symbol; before it stand up to STEP - 1 bytes and after it as many.
@@ -25,6 +26,7 @@ is settled by counting its single windows, whose keys spread over all tasks.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,7 +50,7 @@ HOT_GROUP = 100_000
 #: Bits of a packed minimiser that hold its place; texts may have so many bytes.
 _PLACE_BITS = np.uint64(28)
 
-SEGMENT = "anchor long, content long, doc_id long, doc_key long, start int, windows int"
+SEGMENT = "anchor long, content long, doc_id long, doc_key long, start int, windows int, times int"
 PIECE = "anchor long, place int, core long, content long, left binary, right binary, doc_id long, doc_key long, start int, n int, single boolean"
 RANGE = "doc_id long, doc_key long, start int, n int"
 
@@ -71,7 +73,8 @@ def sliding_min(h: np.ndarray, width: int) -> np.ndarray:
 
 
 def find_segments(batches: Iterator[pa.RecordBatch], length: int, anchor: int) -> Iterator[pa.RecordBatch]:
-    """Columns doc_id, doc_key, text -> SEGMENT rows."""
+    """Columns doc_id, doc_key, text -> SEGMENT rows. times: how often the batch has the
+    segment, at the first of its places; 0 at the others."""
     reach = length - anchor + 1
     for batch in batches:
         ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -96,8 +99,10 @@ def find_segments(batches: Iterator[pa.RecordBatch], length: int, anchor: int) -
                     content = xxhash.xxh3_64_intdigest(text[s : e + length - 1])
                     rows.append((of, content - 2**64 if content >= 2**63 else content, ids[first + i], keys[first + i], s - a, e - s))
         if rows:
-            kinds = [pa.int64()] * 4 + [pa.int32()] * 2
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["anchor", "content", "doc_id", "doc_key", "start", "windows"])
+            times = Counter(row[:2] for row in rows)
+            rows = [(*row, times.pop(row[:2], 0)) for row in rows]
+            kinds = [pa.int64()] * 4 + [pa.int32()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[x.split()[0] for x in SEGMENT.split(", ")])
 
 
 def cut_pieces(batches: Iterator[pa.RecordBatch], length: int, anchor: int, step: int) -> Iterator[pa.RecordBatch]:
@@ -282,10 +287,13 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR
     small_batches(docs.sparkSession)
     segments = settle(docs.mapInArrow(lambda it: find_segments(it, length, anchor), SEGMENT))
     one = F.min(F.struct("doc_id", "doc_key", "start", "windows")).alias("one")
-    contents = settle(segments.groupBy("anchor", "content").agg(F.count("*").alias("copies"), one))
-    # a content that stands at two places is repeated as a whole, at each of them
-    twice = contents.filter("copies > 1").select("anchor", "content", F.col("copies").alias("rows"))
-    whole = join_skewed(segments, twice, ["anchor", "content"], ["doc_id", "start"]).select("doc_id", "doc_key", "start", F.col("windows").alias("n"))
+    counts = F.sum("times").alias("copies"), F.count_if(F.col("times") == 1).alias("lone")
+    contents = settle(segments.filter("times > 0").groupBy("anchor", "content").agg(*counts, one))
+    # a content that stands at two places is repeated as a whole, at each of them; only those
+    # that are alone in their batch have to look for the other place
+    twice = contents.filter("copies > 1 and lone > 0").select("anchor", "content", F.col("lone").alias("rows"))
+    lone = join_skewed(segments.filter("times = 1"), twice, ["anchor", "content"], ["doc_id", "start"])
+    whole = segments.filter("times <> 1").select("doc_id", "doc_key", "start", F.col("windows").alias("n")).unionByName(lone.select("doc_id", "doc_key", "start", F.col("windows").alias("n")))
 
     # contents that are not alone with their minimiser may share windows
     shared = contents.groupBy("anchor").agg(F.count("*").alias("rows")).filter("rows > 1")

@@ -109,6 +109,24 @@ def test_suffix_dedup(request, name):
     assert rows_of(cut, F.length("text")) == rows_of(suffix_dedup(docs), F.length("text"))
 
 
+@pytest.mark.parametrize("parts", [1, 7, 40])
+def test_passages_within_and_across_batches(spark, parts):
+    """A passage that many texts share, one that two share, and one that a text has twice; all in
+    one batch, some in each, and each text in a batch of its own."""
+    rnd = random.Random(11)
+
+    def some(n: int) -> str:
+        return " ".join(str(rnd.randrange(10**6)) for _ in range(n))
+
+    common, of_two, twice = some(120), some(90), some(80)
+    rows = [(i, f"{some(40)} {common if i % 3 else of_two if i in (6, 21) else some(50)} {some(30)}") for i in range(38)]
+    rows += [(38, f"{twice} {some(20)} {twice}"), (39, rows[5][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts, "doc_id")
+    want = plain.suffix_rows(rows)
+    assert sum(r[2] > 0 for r in want) > 25
+    assert rows_of(suffix_dedup(docs), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == want
+
+
 def vectors_of(spark):
     rng = np.random.default_rng(1)
     v = rng.normal(size=(300, 16)).astype("f4")
