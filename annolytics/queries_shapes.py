@@ -249,6 +249,6 @@ def nonempty_box(spark, d):
     return view(spark, d, "dt_boxes").filter(C.valid_box(B.box()) & S.is_valid()).select("det_id")
 
 
-@register("SELECT det_id FROM dt_boxes WHERE x - (w * 0.6 + h * 0.8) / 2 >= -2 AND y - (h * 0.6 + w * 0.8) / 2 >= -2 AND x + (w * 0.6 + h * 0.8) / 2 < 642 AND y + (h * 0.6 + w * 0.8) / 2 < 482")
+@register("SELECT det_id FROM dt_boxes WHERE round(x - (w * 0.6 + h * 0.8) / 2, 9) >= -2 AND round(y - (h * 0.6 + w * 0.8) / 2, 9) >= -2 AND round(x + (w * 0.6 + h * 0.8) / 2, 9) < 642 AND round(y + (h * 0.6 + w * 0.8) / 2, 9) < 482")
 def inside_rotated_box(spark, d):
     return view(spark, d, "dt_boxes").filter(B.inside_rotated((*B.box(), F.degrees(F.acos(F.lit(0.6)))), F.lit(640), F.lit(480), 2)).select("det_id")
