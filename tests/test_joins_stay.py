@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from annolytics.operators.masks import mask_components
 from annolytics.operators.ordered import suppressed
 
 #: Shuffles of the expanded rows that remain: the dealing of the rows by video, and what leaves Python.
@@ -33,3 +34,9 @@ def test_pass_follows_its_order_in_every_group(spark):
     gone = {tuple(r) for r in suppressed(rows.repartition(3), ["g"], "a", "b", [F.desc("s"), "a", "b"]).collect()}
     # along a chain every second item goes
     assert gone == {(i % 7, i + 7) for i in range(4000) if (i // 7) % 2 == 0}
+
+
+def test_component_sizes_count_what_runs_stand_for(spark):
+    runs = spark.createDataFrame([(1, 1, 0, 0, 2, 5, 9), (1, 1, 1, 2, 3, 0, 9), (1, 1, 5, 0, 1, 1, 9)], "image_id long, ann_id long, col long, row_start long, run_len long, beyond long, area long")
+    out = {(r.col, r.component, r["size"], r.area) for r in mask_components(runs, "beyond", ("area",)).collect()}
+    assert out == {(0, 1, 10, 9), (1, 1, 10, 9), (5, 2, 2, 9)}
