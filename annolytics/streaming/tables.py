@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..operators.reshape import weighted_meter
 
@@ -33,10 +33,13 @@ def assign_object_ids(dets: DataFrame, most: int = 0) -> DataFrame:
     the order of frame and det_id. With `most` above 0 a video has so many objects at most,
     and of a frame's detections those of highest score get the ids that are left."""
 
-    def whole(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        return _frame(int(key[0]), _assign(0, 0, most, part)[2])
-
-    return dets.groupBy("video_id").applyInPandas(whole, _IDS)
+    rows = dets.filter("frame_idx is not null").select("video_id", "frame_idx", "det_id", "score")
+    video = Window.partitionBy("video_id")
+    if most > 0:
+        best = video.orderBy("frame_idx", F.desc_nulls_last(F.nanvl("score", F.lit(None).cast("double"))), "det_id")
+        rows = rows.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= most)
+    number = F.row_number().over(video.orderBy("frame_idx", "det_id")).cast("long")
+    return rows.select(*(F.col(c).cast("long").alias(c) for c in ("video_id", "frame_idx", "det_id")), number.alias("object_id"))
 
 
 def _expire_later(held, part: pd.DataFrame, time: str, idle_ms: int) -> None:
