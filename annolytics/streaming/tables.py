@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -74,6 +75,43 @@ def assign_object_ids_stream(dets: DataFrame, most: int = 0, time: str | None =
     return timed.groupBy("video_id").applyInPandasWithState(batch, _IDS, "top long, alive long", "append", "EventTimeTimeout" if time else "NoTimeout")
 
 
+#: Groups in which the choices of stream_dedup are kept; a group's are one state, taken up at once.
+GROUPS = 4096
+
+
+def _whole(column: pd.Series, missing: int) -> np.ndarray:
+    gone = column.isna().to_numpy()
+    return np.where(gone, missing, column.where(~gone, 0).to_numpy(np.int64))
+
+
+def _choose(held: np.ndarray, part: pd.DataFrame, times: np.ndarray, idle_ms: int, watermark: int) -> tuple[np.ndarray, np.ndarray]:
+    """The choices (rows of video_id, category_id, shard and the time up to which it stands) after a batch
+    of a group, and whether each row of the batch is of its key's shard."""
+    least_long, most = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+    keys = np.column_stack([_whole(part[c], least_long) for c in ("video_id", "category_id")])
+    given = _whole(part["shard"], most)
+    both = np.concatenate([held[:, :2], keys])
+    order = np.lexsort((both[:, 1], both[:, 0]))
+    new = np.r_[True, (both[order][1:] != both[order][:-1]).any(axis=1)]
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    old, own = number[: len(held)], number[len(held) :]
+    n = int(number.max()) + 1
+    least = np.full(n, most)
+    np.minimum.at(least, own, given)
+    shard = least.copy()
+    shard[old] = held[:, 2]
+    last = np.full(n, -most)
+    np.maximum.at(last, own, times)
+    until = np.maximum(last + idle_ms, watermark + 1)
+    there = np.zeros(n, bool)
+    there[own] = True
+    until[old[~there[old]]] = held[~there[old], 3]
+    # what has run out goes, but for the keys that have come again just now
+    stays = there | (until >= watermark)
+    return np.column_stack([both[order][new], shard, until])[stays], given == shard[own]
+
+
 def stream_dedup(predictions: DataFrame, time: str = "ts", late: str = "1 hour", idle: str = "1 day") -> DataFrame:
     """Of a stream of predictions (video_id, category_id, track_id, shard, ts) for each video and
     category the rows of the first shard that brought it (the least of one batch), and of
@@ -82,21 +120,29 @@ def stream_dedup(predictions: DataFrame, time: str = "ts", late: str = "1 hour",
     schema, idle_ms = predictions.schema, _ms(idle)
 
     def batch(key: tuple, parts: Iterator[pd.DataFrame], held) -> Iterator[pd.DataFrame]:
+        choices = np.frombuffer(held.get[0], np.int64).reshape(-1, 4) if held.exists else np.empty((0, 4), np.int64)
+        watermark = held.getCurrentWatermarkMs()
         if held.hasTimedOut:
+            choices, part = choices[choices[:, 3] >= watermark], None
+        else:
+            part = pd.concat(list(parts), ignore_index=True)
+            times = part[time].to_numpy("datetime64[ms]").astype(np.int64)
+            choices, chosen = _choose(choices, part, times, idle_ms, watermark)
+        if len(choices):
+            held.update((choices.tobytes(),))
+            held.setTimeoutTimestamp(max(int(choices[:, 3].min()), watermark + 1))
+        else:
             held.remove()
-            return
-        part = pd.concat(list(parts), ignore_index=True)
-        shard = held.get[0] if held.exists else int(part["shard"].min())
-        held.update((shard,))
-        _expire_later(held, part, time, idle_ms)
-        yield part[part["shard"] == shard]
+        if part is not None:
+            yield part.loc[chosen, schema.names]
 
     chosen = predictions.dropDuplicates(["video_id", "category_id", "track_id", "shard"]) if not predictions.isStreaming else predictions
     if not predictions.isStreaming:
         first = chosen.groupBy("video_id", "category_id").agg(F.min("shard").alias("shard"))
         return chosen.join(first, ["video_id", "category_id", "shard"], "left_semi").select(*predictions.columns)
     once = predictions.withWatermark(time, late).dropDuplicatesWithinWatermark(["video_id", "category_id", "track_id", "shard"])
-    return once.groupBy("video_id", "category_id").applyInPandasWithState(batch, schema, "shard long", "append", "EventTimeTimeout")
+    group = F.pmod(F.xxhash64("video_id", "category_id"), F.lit(GROUPS))
+    return once.withColumn("_group", group).groupBy("_group").applyInPandasWithState(batch, schema, "choices binary", "append", "EventTimeTimeout")
 
 
 def streaming_meter(values: DataFrame, *by: str) -> DataFrame:
