@@ -24,3 +24,10 @@ def test_unchosen_are_all_but_the_optimal(spark):
     chosen = {tuple(r)[:3] for r in optimal_pairs(pairs, ["g"], "a", "b", "s").collect()}
     rest = [tuple(r) for r in unchosen_pairs(pairs, ["g"], "a", "b", "s").collect()]
     assert chosen and len(rest) == len(set(rest)) and not chosen & set(rest) and chosen | set(rest) == set(rows)
+
+
+def test_cleaning_deals_holes_alone(spark, sf_dir, capsys):
+    entry.queries()["clean_masks"](spark, sf_dir).explain()
+    plan = capsys.readouterr().out.split("== Initial Plan ==")[0]
+    # holes come from Python; they are summed and dealt to the runs of their mask
+    assert plan.count("Exchange hashpartitioning(image_id") <= 2 and "Union" not in plan.split("MapInArrow")[1]
