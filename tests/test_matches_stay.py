@@ -31,3 +31,9 @@ def test_cleaning_deals_holes_alone(spark, sf_dir, capsys):
     plan = capsys.readouterr().out.split("== Initial Plan ==")[0]
     # holes come from Python; they are summed and dealt to the runs of their mask
     assert plan.count("Exchange hashpartitioning(image_id") <= 2 and "Union" not in plan.split("MapInArrow")[1]
+
+
+def test_frames_of_tracks_are_numbered_where_they_lie(spark, sf_dir, capsys):
+    entry.queries()["tracks_to_frames"](spark, sf_dir).explain()
+    plan = capsys.readouterr().out.split("== Initial Plan ==")[0]
+    assert not re.search(r"Exchange \w+\([^)]*frame_idx", plan)
