@@ -7,7 +7,9 @@ import re
 import numpy as np
 
 import __spark_entry__ as entry
+from annolytics.operators import reshape
 from annolytics.operators.ordered import optimal_pairs, unchosen_pairs
+from annolytics.views import view
 
 
 def test_hota_deals_no_matches(spark, sf_dir, capsys):
@@ -33,7 +35,8 @@ def test_cleaning_deals_holes_alone(spark, sf_dir, capsys):
     assert plan.count("Exchange hashpartitioning(image_id") <= 2 and "Union" not in plan.split("MapInArrow")[1]
 
 
-def test_frames_of_tracks_are_numbered_where_they_lie(spark, sf_dir, capsys):
-    entry.queries()["tracks_to_frames"](spark, sf_dir).explain()
-    plan = capsys.readouterr().out.split("== Initial Plan ==")[0]
-    assert not re.search(r"Exchange \w+\([^)]*frame_idx", plan)
+def test_frames_of_tracks_keep_one_row_a_video(spark, sf_dir, monkeypatch):
+    kept, keep = [], reshape.settled
+    monkeypatch.setattr(reshape, "settled", lambda df: kept.append(df.count()) or keep(df))
+    entry.queries()["tracks_to_frames"](spark, sf_dir)
+    assert kept == [view(spark, sf_dir, "gt_tracks").select("video_id").distinct().count()]
